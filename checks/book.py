@@ -68,7 +68,7 @@ def flag(c: str) -> str:
 
 def units(c: str) -> str:
     """A money or small decimal value as an integer number of 1/10000."""
-    return f"cast(round(({c}) * 10000) as hugeint)"
+    return f"cast(round(cast(({c}) as double) * 10000) as hugeint)"
 
 
 def half_up(top: str, bottom: str, digits: int) -> str:

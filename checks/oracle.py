@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from checks import layers  # noqa: F401  (fills the book)
+from checks import layers, reports  # noqa: F401  (importing fills the book)
 from checks.book import BOOK, compose
 
-ORACLE: dict[str, str] = {}
-
-
-def check(name: str, sql: str) -> None:
-    assert name not in ORACLE, name
-    ORACLE[name] = sql
-
-
-for _name in list(BOOK):
-    if _name.startswith(("silver_", "gold_")):
-        check(_name, f"select * from {_name}")
+ORACLE: dict[str, str] = {name: f"select * from {name}" for name in BOOK if name.startswith(("silver_", "gold_"))}
+ORACLE.update(reports.CHECKS)
 
 
 def oracle_sql() -> dict[str, str]:

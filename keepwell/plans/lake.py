@@ -1,18 +1,25 @@
-"""The layers of one data directory: raw -> silver -> gold, lazily, by name."""
+"""The layers of one data directory by name: raw -> silver -> gold -> features and model inputs."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.operators import gold, silver
+from keepwell.operators import features, gold, interactions, silver
+from keepwell.session import stored
 from keepwell.sources.retail import RetailSource
 
+# tables already written by this application: (application, directory, name) -> DataFrame
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
 
 class Lake:
-    """Lazy view of the layers; nothing is computed until a result is consumed."""
+    """`raw`, `silver` and `gold` are lazy. `table` writes a layer once to the shared folder, as the
+    nightly jobs do between layers, and later queries of the application read the written table."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.source = spark, RetailSource(spark, sf_dir)
+        self.spark, self.sf_dir, self.source = spark, sf_dir, RetailSource(spark, sf_dir)
 
     def raw(self, name: str) -> DataFrame:
         return self.source.table(name)
@@ -24,3 +31,21 @@ class Lake:
         if name == "dim_date":
             return gold.sales_calendar(self.silver("orders"))
         return gold.build(name, self.silver)
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = stored(build(), name)
+        return _WRITTEN[key]
+
+    def table(self, name: str) -> DataFrame:
+        """A written silver table."""
+        return self.once(f"silver_{name}", lambda: self.silver(name))
+
+    def features(self) -> DataFrame:
+        return self.once("churn_features", lambda: features.feature_table(
+            *[self.table(t) for t in ("orders", "payments", "refunds", "cart_events", "sessions", "reviews")]))
+
+    def interactions(self) -> DataFrame:
+        return self.once("interactions", lambda: interactions.interaction_matrix(
+            self.table("orders"), self.table("cart_events"), self.table("reviews")))
