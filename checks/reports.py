@@ -217,7 +217,8 @@ add("interactions", """
 select customer_id, product_id, max(confidence) as confidence, max(order_date) as order_date from (
   select customer_id, product_id, 1.0::double as confidence, order_date from purchases
   union all select customer_id, product_id, 0.5, null from cart_signals
-  union all select customer_id, product_id, 2.0, null from liked) group by customer_id, product_id""")
+  union all select customer_id, product_id, 2.0, null from liked)
+where customer_id is not null and product_id is not null group by customer_id, product_id""")
 CHECKS["recdata_matrix_size"] = """
 select customers, products, interactions, customers * products as possible_pairs,
   round(1 - interactions / cast(customers * products as double), 8) as sparsity
@@ -263,7 +264,8 @@ add("interactions_6m", f"""
 select customer_id, product_id, max(confidence) as confidence from (
   select customer_id, product_id, 1.0::double as confidence from {_recent('purchases', 'order_date')}
   union all select customer_id, product_id, 0.5 from {_recent('cart_signals', 'event_date')}
-  union all select customer_id, product_id, 2.0 from {_recent('liked', 'review_date')}) group by customer_id, product_id""")
+  union all select customer_id, product_id, 2.0 from {_recent('liked', 'review_date')})
+where customer_id is not null and product_id is not null group by customer_id, product_id""")
 CHECKS["recdata_windowed_matrix"] = "select * from interactions_6m"
 CHECKS["recdata_signal_density"] = union(
     f"select round(avg(n), 6) as mean_signals, max(n) as max_signals, count(*) filter (n < 5) as thin_customers, count(*) as customers, "

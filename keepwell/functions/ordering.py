@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,52 +13,41 @@ from keepwell.session import stored
 ACCURACY = 20_000
 
 
-def order_statistics(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """One row with structs `q0, q1, ...` of (lower, upper, weight) around rank (n - 1) * p.
+def order_statistics(df: DataFrame, column: str, probs: list[float]) -> list[tuple[float, float, float]]:
+    """(lower, upper, weight) around rank (n - 1) * p for each p; empty columns give no tuples.
 
-    A quantile sketch brackets each rank within n / ACCURACY positions. Values inside a bracket are
-    counted one by one, everything between brackets collapses to one count, so what is finally
-    ranked is bounded by the sketch accuracy and not by the table. Should a rank ever fall outside
-    its bracket the query stops with an error instead of answering approximately.
+    Three passes, each returning a handful of numbers: a count, a quantile sketch that brackets every
+    rank within n / ACCURACY positions, and the counts around the brackets. Values inside a bracket
+    are counted one by one and everything between brackets collapses to one count, so what is ranked
+    at the end is bounded by the sketch accuracy and not by the table. Should a rank fall outside its bracket this raises instead of
+    answering approximately. Callers pass a written or cached table.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    margin = 2.0 / ACCURACY
-    edges = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
-    sketch = values.agg(F.struct(
-        F.percentile_approx("v", F.array(*[F.lit(e) for e in edges]), ACCURACY).alias("edge"),
-        F.count("v").alias("n")).alias("s")).scalar()
-    v, edge = F.col("v"), sketch["edge"]
-    inside = F.lit(False)
-    for i in range(len(probs)):
-        inside = inside | v.between(edge[2 * i], edge[2 * i + 1])
-    gap = F.when(~inside, sum((F.when(v > edge[i], 1).otherwise(0) for i in range(len(edges))), F.lit(0)))
-    counted = (values.groupBy(F.when(inside, v).alias("inside"), gap.alias("gap"))
+    n = values.count()
+    if not n:
+        return []
+    margin = 2.0 / ACCURACY + 2.0 / n
+    wanted = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
+    edges = values.agg(F.percentile_approx("v", wanted, ACCURACY)).first()[0]
+    v = F.col("v")
+    inside = reduce(Column.__or__, [v.between(edges[2 * i], edges[2 * i + 1]) for i in range(len(probs))])
+    gap = sum((F.when(v > e, 1).otherwise(0) for e in edges), F.lit(0))
+    counted = (values.groupBy(F.when(inside, v).alias("inside"), F.when(~inside, gap).alias("gap"))
                .agg(F.max("v").alias("top"), F.count("v").alias("rows")))
     ranked = counted.withColumn("until", F.sum("rows").over(Window.orderBy("top")))
-
-    def at(rank: Column) -> Column:
-        hit = F.min(F.when(F.col("until") > rank, F.struct("top", F.col("inside").isNull().alias("collapsed"))))
-        return F.when(hit["collapsed"], F.raise_error(F.lit("rank outside its bracket")).cast("double")).otherwise(hit["top"])
-
-    out = []
-    for i, p in enumerate(probs):
-        rank = (sketch["n"] - 1) * F.lit(float(p))
-        out.append(F.struct(at(F.floor(rank)).alias("lower"), at(F.ceil(rank)).alias("upper"),
-                            F.max(rank - F.floor(rank)).alias("weight")).alias(f"q{i}"))
-    return ranked.agg(*out)
+    ranks = [(n - 1) * p for p in probs]
+    found = ranked.agg(*[
+        F.min(F.when(F.col("until") > r, F.struct("top", F.col("inside").isNull().alias("collapsed"))))
+        for rank in ranks for r in (math.floor(rank), math.ceil(rank))]).first()
+    if any(hit["collapsed"] for hit in found):
+        raise ArithmeticError("a rank fell outside its bracket")
+    return [(found[2 * i]["top"], found[2 * i + 1]["top"], rank - math.floor(rank)) for i, rank in enumerate(ranks)]
 
 
-def quantiles(df: DataFrame, column: str, probs: list[float], names: list[str] | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles as one row."""
-    names = names or [f"p{100 * p:g}" for p in probs]
+def quantiles(df: DataFrame, column: str, probs: list[float]) -> list[float | None]:
+    """Exact linearly interpolated quantiles."""
     stats = order_statistics(df, column, probs)
-    return stats.select(*[
-        F.expr(f"q{i}.lower + (q{i}.upper - q{i}.lower) * q{i}.weight").alias(name) for i, name in enumerate(names)])
-
-
-def quantile(df: DataFrame, column: str, p: float) -> Column:
-    """Exact quantile as a scalar subquery."""
-    return quantiles(df, column, [p], ["value"]).scalar()
+    return [low + (high - low) * weight for low, high, weight in stats] or [None] * len(probs)
 
 
 def numbered(df: DataFrame, order: list, name: str, label: str = "numbered") -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions import exact
-from keepwell.functions.ordering import quantile
+from keepwell.functions.ordering import quantiles
+from keepwell.session import stored
 
 # fixed values
 CLIP = 0.99
@@ -47,8 +48,10 @@ def rfm_base(orders: DataFrame, as_of=None) -> DataFrame:
 
 
 def winsorised(df: DataFrame, columns: list[str], p: float = CLIP) -> DataFrame:
-    """Cap each column at its exact p-quantile; as `least` skips nulls, an unknown value takes the cap."""
-    return df.withColumns({c: F.least(F.col(c).cast("double"), quantile(df, c, p)) for c in columns})
+    """Cap each column at its exact p-quantile; as `least` skips nulls, an unknown value takes the cap.
+    `df` should be written or cached: finding the cap reads it twice."""
+    caps = {c: F.lit(quantiles(df, c, [p])[0]).cast("double") for c in columns}
+    return df.withColumns({c: F.least(F.col(c).cast("double"), cap) for c, cap in caps.items()})
 
 
 def refund_features(refunds: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def by_frequency(df: DataFrame, column: str, name: str) -> DataFrame:
 def feature_table(orders: DataFrame, payments: DataFrame, refunds: DataFrame, cart_events: DataFrame,
                   sessions: DataFrame, reviews: DataFrame, as_of=None) -> DataFrame:
     """One row per ordering customer: id, 14 features, label; no nulls."""
-    base = winsorised(rfm_base(orders, as_of), ["total_orders", "total_spent"])
+    base = winsorised(stored(rfm_base(orders, as_of), "rfm_base"), ["total_orders", "total_spent"])
     joined = base
     for side in (refund_features(refunds), cart_adds(cart_events), session_features(sessions),
                  preferred_payment(orders, payments), rating_features(reviews)):

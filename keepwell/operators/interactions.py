@@ -36,9 +36,9 @@ def within_months(df: DataFrame, date: str, months: int, as_of: Column) -> DataF
 
 
 def signals(orders: DataFrame, cart_events: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Every signal with its confidence; purchases also carry their date."""
+    """Every signal with its confidence; purchases also carry their date. A pair needs both ids."""
     def signal(df: DataFrame, confidence: float, date: Column) -> DataFrame:
-        return df.select("customer_id", "product_id", F.lit(confidence).alias("confidence"), date.alias("order_date"))
+        return df.where("customer_id is not null and product_id is not null").select("customer_id", "product_id", F.lit(confidence).alias("confidence"), date.alias("order_date"))
     undated = F.lit(None).cast("date")
     return (signal(purchases(orders), PURCHASE, F.col("order_date"))
             .unionByName(signal(cart_signals(cart_events), CART, undated))

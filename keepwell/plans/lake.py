@@ -42,6 +42,9 @@ class Lake:
         """A written silver table."""
         return self.once(f"silver_{name}", lambda: self.silver(name))
 
+    def rfm(self) -> DataFrame:
+        return self.once("rfm_base", lambda: features.rfm_base(self.table("orders")))
+
     def features(self) -> DataFrame:
         return self.once("churn_features", lambda: features.feature_table(
             *[self.table(t) for t in ("orders", "payments", "refunds", "cart_events", "sessions", "reviews")]))
@@ -49,3 +52,41 @@ class Lake:
     def interactions(self) -> DataFrame:
         return self.once("interactions", lambda: interactions.interaction_matrix(
             self.table("orders"), self.table("cart_events"), self.table("reviews")))
+
+    # ------------------------------------------------ rule-based model outputs (see reference_rules)
+    def last_day(self):
+        from pyspark.sql import functions as F
+        return self.table("orders").agg(F.max("order_date")).scalar()
+
+    def rule_predictions(self) -> DataFrame:
+        from keepwell.plans import reference_rules as rules
+        return self.once("rule_predictions", lambda: rules.predictions(features.as_doubles(self.features()), self.last_day()))
+
+    def rule_segments(self) -> DataFrame:
+        from keepwell.plans import reference_rules as rules
+        return self.once("rule_segments", lambda: rules.segment_table(self.features(), self.rule_predictions(), self.last_day()))
+
+    def rule_recommendations(self) -> DataFrame:
+        from keepwell.operators import recommend
+        return self.once("rule_recommendations", lambda: recommend.history_ranking(self.interactions()))
+
+    def rule_weighted(self) -> DataFrame:
+        from keepwell.operators import rerank
+
+        def build():
+            z = rerank.standardised(rerank.with_baskets(self.rule_segments(), rerank.basket_size(self.table("cart_events"))))
+            return rerank.multiplier(z, rerank.entropy_weights(z))
+        return self.once("rule_weighted", build)
+
+    def rule_reranked(self) -> DataFrame:
+        from keepwell.operators import rerank
+        return self.once("rule_reranked", lambda: rerank.reranked(self.rule_recommendations(), self.rule_weighted()))
+
+    def scored_reviews(self) -> DataFrame:
+        from keepwell.operators import insight
+        return self.once("scored_reviews", lambda: insight.score(insight.scorable(self.table("reviews"))))
+
+    def rule_insights(self) -> DataFrame:
+        from keepwell.operators import insight
+        return self.once("rule_insights", lambda: insight.insights(
+            insight.labelled(insight.parsed(self.scored_reviews()), self.last_day()), self.rule_predictions(), self.rule_segments()))

@@ -112,7 +112,7 @@ def _coverage(lake):
 
 query("profile_monthly_orders")(lambda lake: prof.monthly_orders(lake.silver("orders")))
 query("profile_rfm_summary")(lambda lake: prof.summary(feat.rfm_base(lake.table("orders")), RFM))
-query("profile_spend_percentiles")(lambda lake: prof.percentiles(feat.rfm_base(lake.table("orders")), "total_spent"))
+query("profile_spend_percentiles")(lambda lake: prof.percentiles(lake.rfm(), "total_spent"))
 query("profile_skewness")(lambda lake: prof.sample_skewness(feat.rfm_base(lake.table("orders")), RFM))
 query("profile_correlation")(lambda lake: prof.correlations(feat.rfm_base(lake.table("orders")), RFM))
 query("profile_spend_share")(lambda lake: prof.share_under(feat.rfm_base(lake.table("orders")), "total_spent", 1_000_000.0))
@@ -157,7 +157,7 @@ query("recdata_date_range")(lambda lake: inter.date_range(lake.silver("orders"))
 # ---------------------------------------------------------------- churn features
 query("feature_rfm_base")(lambda lake: feat.rfm_base(lake.silver("orders")))
 query("feature_winsorised")(lambda lake: feat.winsorised(
-    feat.rfm_base(lake.table("orders")), ["total_orders", "total_spent"]).select("customer_id", "total_orders", "total_spent"))
+    lake.rfm(), ["total_orders", "total_spent"]).select("customer_id", "total_orders", "total_spent"))
 query("feature_sessions")(lambda lake: feat.session_features(lake.silver("sessions")))
 query("feature_preferred_payment")(lambda lake: feat.preferred_payment(lake.silver("orders"), lake.silver("payments")))
 query("feature_ratings")(lambda lake: feat.rating_features(lake.silver("reviews")))
