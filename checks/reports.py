@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks import layers  # noqa: F401  (the clean tables come first)
 from checks.book import BOOK, add, day, half_up, money_mean, money_total, num, units
 
 CHECKS: dict[str, str] = {}
