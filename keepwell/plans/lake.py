@@ -15,22 +15,23 @@ _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Lake:
-    """`raw`, `silver` and `gold` are lazy. `table` writes a layer once to the shared folder, as the
-    nightly jobs do between layers, and later queries of the application read the written table."""
+    """Layers meet only through written tables, as in the nightly run: `raw` tables and clean tables
+    (`table`) are written once per application to the shared folder and read by everything after
+    them. `silver` and `gold` are the lazy builders over the layer below."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.source = spark, sf_dir, RetailSource(spark, sf_dir)
 
     def raw(self, name: str) -> DataFrame:
-        return self.source.table(name)
+        return self.once(f"bronze_{name}", lambda: self.source.table(name))
 
     def silver(self, name: str) -> DataFrame:
         return silver.clean(name, self.raw(name))
 
     def gold(self, name: str) -> DataFrame:
         if name == "dim_date":
-            return gold.sales_calendar(self.silver("orders"))
-        return gold.build(name, self.silver)
+            return gold.sales_calendar(self.table("orders"))
+        return gold.build(name, self.table)
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)

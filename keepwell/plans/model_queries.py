@@ -67,7 +67,7 @@ def _power_fit(lake):
 
 
 # ---------------------------------------------------------------- recommendations
-query("recommend_interactions")(lambda lake: interactions.interaction_matrix(*[lake.silver(t) for t in ("orders", "cart_events", "reviews")]))
+query("recommend_interactions")(lambda lake: interactions.interaction_matrix(*[lake.table(t) for t in ("orders", "cart_events", "reviews")]))
 query("recommend_user_ids")(lambda lake: recommend.integer_ids(lake.interactions(), "customer_id", "user_idx"))
 query("recommend_item_ids")(lambda lake: recommend.integer_ids(lake.interactions(), "product_id", "item_idx"))
 
@@ -123,7 +123,7 @@ def _rfmq(lake):
     return rerank.with_baskets(lake.rule_segments(), baskets)
 
 
-query("rerank_basket_size")(lambda lake: rerank.basket_size(lake.silver("cart_events")))
+query("rerank_basket_size")(lambda lake: rerank.basket_size(lake.table("cart_events")))
 query("rerank_basket_summary")(lambda lake: rerank.basket_summary(rerank.basket_size(lake.table("cart_events"))))
 query("rerank_basket_filled")(lambda lake: _rfmq(lake).select("customer_id", "rfm_segment", "avg_qty_per_order"))
 query("rerank_segment_baskets")(lambda lake: rerank.segment_baskets(_rfmq(lake)))
@@ -155,8 +155,8 @@ query("rerank_lift")(lambda lake: rerank.lift(lake.rule_reranked(), _holdout(lak
 query("rerank_als_lift")(lambda lake: rerank.lift(fitted.reranked(lake), fitted.split(lake)[1]))
 
 # ---------------------------------------------------------------- review insight
-query("insight_text_coverage")(lambda lake: insight.text_coverage(lake.silver("reviews")))
-query("insight_scorable")(lambda lake: insight.scorable(lake.silver("reviews")))
+query("insight_text_coverage")(lambda lake: insight.text_coverage(lake.table("reviews")))
+query("insight_scorable")(lambda lake: insight.scorable(lake.table("reviews")))
 
 
 def _old_and_new(lake):
@@ -166,7 +166,7 @@ def _old_and_new(lake):
 
 
 query("insight_unscored")(lambda lake: insight.unscored(insight.scorable(lake.table("reviews")), _old_and_new(lake)).select("review_id", "review_date"))
-query("insight_scores")(lambda lake: insight.score(insight.scorable(lake.silver("reviews"))).select("review_id", "sentiment_raw"))
+query("insight_scores")(lambda lake: insight.score(insight.scorable(lake.table("reviews"))).select("review_id", "sentiment_raw"))
 query("insight_parsed")(lambda lake: insight.labelled(insight.parsed(lake.scored_reviews()), lake.last_day()).drop("review_text"))
 
 

@@ -110,7 +110,7 @@ def _coverage(lake):
                                   {t: lake.table(t) for t in ("sessions", "cart_events", "reviews", "refunds", "payments")})
 
 
-query("profile_monthly_orders")(lambda lake: prof.monthly_orders(lake.silver("orders")))
+query("profile_monthly_orders")(lambda lake: prof.monthly_orders(lake.table("orders")))
 query("profile_rfm_summary")(lambda lake: prof.summary(feat.rfm_base(lake.table("orders")), RFM))
 query("profile_spend_percentiles")(lambda lake: prof.percentiles(lake.rfm(), "total_spent"))
 query("profile_skewness")(lambda lake: prof.sample_skewness(feat.rfm_base(lake.table("orders")), RFM))
@@ -134,15 +134,15 @@ def _last_review(lake):
     return lake.table("reviews").agg(F.max("review_date")).scalar()
 
 
-query("recdata_matrix_size")(lambda lake: inter.matrix_size(lake.silver("orders")))
+query("recdata_matrix_size")(lambda lake: inter.matrix_size(lake.table("orders")))
 query("recdata_cold_warm")(lambda lake: prof.stacked([
-    inter.cold_warm(lake.silver("orders"), "customer_id", inter.COLD_CUSTOMER),
-    inter.cold_warm(lake.silver("orders"), "product_id", inter.COLD_PRODUCT)]))
-query("recdata_top_products")(lambda lake: inter.top_products(lake.silver("orders")))
-query("recdata_repeat_purchases")(lambda lake: inter.repeat_purchases(lake.silver("orders")))
-query("recdata_pairs_per_signal")(lambda lake: inter.pairs_per_signal(*[lake.silver(t) for t in _signal_tables]))
+    inter.cold_warm(lake.table("orders"), "customer_id", inter.COLD_CUSTOMER),
+    inter.cold_warm(lake.table("orders"), "product_id", inter.COLD_PRODUCT)]))
+query("recdata_top_products")(lambda lake: inter.top_products(lake.table("orders")))
+query("recdata_repeat_purchases")(lambda lake: inter.repeat_purchases(lake.table("orders")))
+query("recdata_pairs_per_signal")(lambda lake: inter.pairs_per_signal(*[lake.table(t) for t in _signal_tables]))
 query("recdata_confidence")(lambda lake: inter.confidence_distribution(
-    inter.interaction_matrix(*[lake.silver(t) for t in _signal_tables])))
+    inter.interaction_matrix(*[lake.table(t) for t in _signal_tables])))
 query("recdata_window_coverage")(lambda lake: inter.window_coverage(lake.table("orders"), [6, 12], _last_day(lake)))
 query("recdata_windowed_matrix")(lambda lake: inter.windowed_matrix(
     *[lake.table(t) for t in _signal_tables], 6, _last_review(lake)).drop("order_date"))
@@ -150,17 +150,17 @@ query("recdata_signal_density")(lambda lake: prof.stacked([
     inter.signal_density(lake.interactions()).withColumn("history", F.lit("full")),
     inter.signal_density(inter.windowed_matrix(*[lake.table(t) for t in _signal_tables], 6, _last_review(lake)))
          .withColumn("history", F.lit("6 months"))]))
-query("recdata_rating_split")(lambda lake: inter.rating_split(lake.silver("reviews")))
-query("recdata_missing_products")(lambda lake: inter.missing_products(lake.silver("orders")))
-query("recdata_date_range")(lambda lake: inter.date_range(lake.silver("orders")))
+query("recdata_rating_split")(lambda lake: inter.rating_split(lake.table("reviews")))
+query("recdata_missing_products")(lambda lake: inter.missing_products(lake.table("orders")))
+query("recdata_date_range")(lambda lake: inter.date_range(lake.table("orders")))
 
 # ---------------------------------------------------------------- churn features
-query("feature_rfm_base")(lambda lake: feat.rfm_base(lake.silver("orders")))
+query("feature_rfm_base")(lambda lake: feat.rfm_base(lake.table("orders")))
 query("feature_winsorised")(lambda lake: feat.winsorised(
     lake.rfm(), ["total_orders", "total_spent"]).select("customer_id", "total_orders", "total_spent"))
-query("feature_sessions")(lambda lake: feat.session_features(lake.silver("sessions")))
-query("feature_preferred_payment")(lambda lake: feat.preferred_payment(lake.silver("orders"), lake.silver("payments")))
-query("feature_ratings")(lambda lake: feat.rating_features(lake.silver("reviews")))
+query("feature_sessions")(lambda lake: feat.session_features(lake.table("sessions")))
+query("feature_preferred_payment")(lambda lake: feat.preferred_payment(lake.table("orders"), lake.table("payments")))
+query("feature_ratings")(lambda lake: feat.rating_features(lake.table("reviews")))
 
 
 @query("feature_refunds_and_carts")

@@ -15,6 +15,9 @@ def local_session(cores: str | None = None, name: str = "keepwell") -> SparkSess
     spark = (SparkSession.builder.master(f"local[{n}]").appName(name)
              .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", n).config("spark.sql.session.timeZone", "UTC")
+             # HotSpot never compiles methods over 8000 bytecodes; wide cleaning projections exceed that
+             # as one fused method, and run several times faster as separately compiled expressions
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
