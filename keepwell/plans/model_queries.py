@@ -29,12 +29,7 @@ def _auc(lake):
         [(c, round(churn.auc(scored, c), 6)) for c in ("churn_probability", "avg_rating")], "score string, auc double")
 
 
-@query("churn_model_comparison")
-def _models(lake):
-    split = fitted.modelling_table(lake)
-    return churn.compare_models(churn.fit_all(split.where("split = 'train'")), split.where("split = 'test'"))
-
-
+query("churn_model_comparison")(fitted.model_comparison)
 query("churn_predictions_fitted")(fitted.predictions)
 query("churn_importance")(lambda lake: churn.importance(fitted.effects(lake)))
 
