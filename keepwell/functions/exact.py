@@ -28,3 +28,8 @@ def ratio(part: Column, whole: Column, digits: int = 2, scale: int = 1) -> Colum
     """scale * part / whole, rounded half up; null where whole is zero."""
     top = part.cast("decimal(20,4)") * F.lit(scale)
     return F.round(F.try_divide(top, whole.cast("decimal(20,4)")), digits).cast("double")
+
+
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation; null, not an error, when a column is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keepwell.functions.exact import correlation
 from keepwell.functions.ordering import order_statistics
 from keepwell.operators.features import FEATURES, LABEL
 
@@ -179,7 +180,7 @@ def top_reason(effects: DataFrame) -> DataFrame:
 def importance(effects: DataFrame) -> DataFrame:
     """Mean absolute effect per feature and whether larger values raise the risk."""
     return effects.groupBy("feature").agg(
-        F.avg(F.abs("delta")).alias("mean_effect"), F.corr("value", "delta").alias("direction")).orderBy(F.desc("mean_effect"))
+        F.avg(F.abs("delta")).alias("mean_effect"), correlation("value", "delta").alias("direction")).orderBy(F.desc("mean_effect"))
 
 
 def predictions(scored: DataFrame, reasons: DataFrame, as_of: Column) -> DataFrame:

@@ -66,6 +66,7 @@ def test_effects_by_replacement_match_the_model_and_survive_saving(spark, lake,
         want = 1 / (1 + math.exp(-margin)) - 1 / (1 + math.exp(-moved))
         assert next(e["delta"] for e in effects if e["customer_id"] == row["customer_id"]) == pytest.approx(want, abs=1e-9)
     assert churn.top_reason(churn.replaced_by_mean(model, table)).count() == len(p)
+    assert churn.importance(churn.replaced_by_mean(model, table)).count() == 12
 
 
 def test_power_transform_round_trip_and_moments(lake):

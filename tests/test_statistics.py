@@ -71,3 +71,9 @@ def test_null_report_is_one_scan(spark, lake):
     assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     nulls = {r["column_name"]: r["nulls"] for r in report.collect()}
     assert nulls["review_id"] == 0 and nulls["review_text"] > 0
+
+
+def test_correlation_of_a_constant_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, 7.0, 5.0)], "a double, b double, c double")
+    row = df.agg(exact.correlation("a", "b").alias("ab"), exact.correlation("a", "c").alias("ac")).first()
+    assert row["ac"] is None and np.isclose(row["ab"], np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1])
