@@ -24,16 +24,17 @@ def local_session(cores: str | None = None, name: str = "keepwell") -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: `spark.checkpoint.dir`, or a temporary one where unset (tests)."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        if not spark.sparkContext.master.startswith("local"):
+    """Folder all executors reach: `spark.checkpoint.dir` or the checkpoint folder already set; in local mode (tests)
+    a temporary one where neither is."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        conf = tempfile.mkdtemp(prefix="keepwell-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf)
-    return conf
+        folder = tempfile.mkdtemp(prefix="keepwell-")
+        context.setCheckpointDir(folder)
+        folder = context.getCheckpointDir()
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
