@@ -65,4 +65,17 @@ SELECT doc_id, size, CAST(n AS BIGINT) AS source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source JOIN seeds ON d.source IS NOT DISTINCT FROM seeds.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1, "op2_embedding_dedup": OP2, "op5_mixing": OP5}
+OP4 = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(6 + length(role || text) + 4 * (length(role || text) - length(replace(role || text, '&', '')))
+    + 3 * (length(role || text) - length(replace(role || text, '<', '')) + length(role || text) - length(replace(role || text, '[', ''))
+    + length(role || text) - length(replace(role || text, ']', '')))) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": OP4, "op1_decontamination": OP1, "op2_embedding_dedup": OP2, "op5_mixing": OP5}

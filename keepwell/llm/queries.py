@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import decontamination, embeddings, minhash, mixing, tokens
+from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,22 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_prefixes(table(spark, sf_dir, "documents"), limits=(limit,), keep=False).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
         F.col("fits")[0].alias("chars_within_limit"))
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = spark.range(2).select(F.lit(-1).cast("long").alias("conversation"), F.col("id").alias("order"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = chat.turns_of_table(table(spark, sf_dir, "conversations")).unionByName(control)
+    back = chat.read_back(chat.formatted(turns))
+    listed = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return back.select(F.col("conversation").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
+                       F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
