@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, tokens
+from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,3 +68,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("conversation").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(F.array_join(listed, ""), 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
                        F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.with_score(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+                                                   (F.col("score") >= 0.5).cast("int").alias("predicted"))
