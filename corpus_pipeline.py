@@ -1,5 +1,66 @@
-"""placeholder while the operators are written"""
-STAGES = []
+"""The corpus pipeline: five stages over `documents`, each a table that the next one reads.
+
+Every stage works on all that its predecessor kept. The first four return the columns of `documents`; the last adds
+`copy_no`. Nulls, empty texts and repeated rows pass as the operators define; an empty table stays empty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keepwell.llm import decontamination, minhash, mixing, suffixes, toxicity
+from keepwell.session import stored
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with a toxicity score of 0.5 or more. The model learns from the labelled documents among `docs`."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(toxicity.training_rows(docs.select("doc_id", "text"), labels))
+    return toxicity.with_score(docs, model, score_col="_score").where("_score < 0.5").drop("_score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates (five-word shingles, similarity 0.8)."""
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, threshold=0.8)
+    gone = found.where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
+    # a repeated id is repeated text or a conflict; its first row in value order stays
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 50 or more words that an earlier document has; a document that was nothing else goes."""
+    cut = suffixes.without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that contain a ten-word window (or the whole, if shorter) of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = decontamination.contamination(docs.select("doc_id", "text"), benchmark)
+    gone = found.where("n_hit > 0").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and leaves out documents so that sources come near their target words; `copy_no` counts a document's copies."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("minhash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_passages),
+    ("mixing to target weights", mixing_sources),
+]
+
+#: The learned toxicity model can't be stated in SQL; tests hold each stage against brute force instead.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.split()[0]}")
+    return docs

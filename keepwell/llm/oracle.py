@@ -78,4 +78,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM t GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": OP4, "op1_decontamination": OP1, "op2_embedding_dedup": OP2, "op5_mixing": OP5}
+OP8 = r"""
+SELECT page_id, CASE WHEN regexp_matches(md5(CAST(page_id AS VARCHAR)), '^0[0-3]') THEN 'damaged' ELSE 'missing' END AS fault,
+  CAST(strlen('WARC/1.0') + strlen('WARC-Type: resource') + strlen('WARC-Date: 2024-01-01T00:00:00Z') + strlen('WARC-Record-ID: <urn:page:>')
+    + strlen(CAST(page_id AS VARCHAR)) + strlen('WARC-Target-URI: ') + strlen(coalesce(url, '')) + strlen('Content-Type: text/html')
+    + strlen('WARC-Block-Digest: sha256:') + 64 + strlen('Content-Length: ') + strlen(CAST(strlen(coalesce(html, '')) AS VARCHAR))
+    + 2 * 9 + strlen(coalesce(html, '')) AS BIGINT) AS record_bytes
+FROM pages WHERE regexp_matches(md5(CAST(page_id AS VARCHAR)), '^0[0-3]|^ff[0-3]')
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_warc_audit": OP8, "op4_chat_formatting": OP4, "op1_decontamination": OP1, "op2_embedding_dedup": OP2, "op5_mixing": OP5}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, tokens, toxicity
+from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, suffixes, tokens, toxicity, warc
+from keepwell.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,3 +77,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
     return toxicity.with_score(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
                                                    (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per passage: where it is, which documents it was matched with, and whether this document is the lowest that has it."""
+    found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.explode("spans").alias("s")).select(
+        "doc_id", F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.col("s.byte_start").alias("start_byte"),
+        F.col("s.byte_end").alias("end_byte"), F.col("s.others").alias("other_doc_ids"), F.col("s.first").alias("is_first"))
+
+
+@query
+def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fire drill: archives all pages twice, the second time with some records damaged (the last character, 1 of 64) or left out
+    (1 of 1024), both chosen by the id's md5, and returns what the audit finds."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    mark = F.md5(F.col("page_id").cast("string"))
+    records = pages.select(mark.alias("mark"), warc.record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    struck = F.coalesce(F.col("mark").rlike("^0[0-3]"), F.lit(False))
+    lost = F.coalesce(F.col("mark").rlike("^ff[0-3]"), F.lit(False))
+    hurt = F.concat(F.substr("record", F.lit(1), F.length("record") - 1), F.lit("#"))
+    first, second = scratch_path(spark, "warc-first"), scratch_path(spark, "warc-second")
+    warc.write_warc(records, first)
+    warc.write_warc(records.where(~lost).withColumn("record", F.when(struck, hurt).otherwise(F.col("record"))), second)
+    found = warc.audit(warc.leaves(spark, first), warc.leaves(spark, second))
+    return found.select(F.col("id").cast("long").alias("page_id"), "fault", F.col("length").alias("record_bytes"))
