@@ -8,8 +8,8 @@ deviations) go; the rest are confirmed on the full sets. A pair at similarity 0.
 (1 - 0.8^4)^24 = 3e-6.
 
 No bucket is expanded into all its pairs. Texts with the same set form one class. In a bucket, every class is first
-compared with the smallest one; then only classes that are still in different components are compared, in blocks that
-hold signatures (not texts), and only pairs over the estimate leave a block.
+compared with the smallest one; then only classes that are still in different components are compared, in blocks of bounded
+size. Signatures decide which rows of a block need their texts; what a block returns is a spanning forest of its links.
 
 Nulls: a null text is an empty one; an empty set links with nothing. A null id gets a null component and is kept.
 Repeated ids count as one document with the larger component's copy linked through either text.
@@ -31,7 +31,7 @@ from keepwell.session import stored
 MINIMA, ROWS, BITS = 96, 4, 4  #: minima per set, minima per band, bits kept of each
 BANDS, LANES = MINIMA // ROWS, 64 // BITS
 MARGIN = 0.2
-BLOCK = 512  #: classes of a bucket compared at a time; also texts confirmed against one in a task
+BLOCK = 1024  #: classes of a bucket compared at a time; also texts confirmed against one in a task
 
 _RNG = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _RNG.integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -154,60 +154,126 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
             .select("a", "role", "b", "text").mapInArrow(_confirm(words, percent), "a long, b long"))
 
 
-def _cross(least: int, percent: int):
-    """Rows (key, i, j, id, side, component, n, s0..s5) sorted by key, i, j: pairs of different components over the estimate."""
-    def compare(ids, side, comp, n, sig):
-        left = np.flatnonzero(side != 2)
-        right = np.flatnonzero(side != 1)
-        unequal = np.zeros((len(left), len(right)), np.uint8)
-        for c in range(sig.shape[1]):
-            z = sig[left, c][:, None] ^ sig[right, c][None, :]
-            z |= z >> np.uint64(1)
-            z |= z >> np.uint64(2)
-            unequal += np.bitwise_count(z & _LOW)
-        small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
-        hit = (unequal <= MINIMA - least) & (comp[left][:, None] != comp[right][None, :]) & (small * 100 >= large * percent)
-        x, y = np.nonzero(hit)
-        x, y = ids[left[x]], ids[right[y]]
-        return np.minimum(x, y), np.maximum(x, y)
+def _survivors(rows: dict[str, np.ndarray], least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of one block of a bucket, the pairs of different components that may reach the threshold, each only in the first
+    band that it shares."""
+    side, comp, n, sig, bands, band = (rows[c] for c in ("side", "component", "n", "sig", "bands", "band"))
+    left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+    if side[0] and (side == side[0]).all():
+        return left[:0], right[:0]
+    unequal = np.zeros((len(left), len(right)), np.uint8)
+    for c in range(sig.shape[1]):
+        z = sig[left, c][:, None] ^ sig[right, c][None, :]
+        z |= z >> np.uint64(1)
+        z |= z >> np.uint64(2)
+        unequal += np.bitwise_count(z & _LOW)
+    x, y = np.nonzero((unequal <= MINIMA - least) & (comp[left][:, None] != comp[right][None, :]))
+    x, y = left[x], right[y]
+    if side[0] == 0:
+        x, y = x[x < y], y[x < y]
+    fits = np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent
+    x, y = x[fits], y[fits]
+    if len(x) and band[0]:
+        first = ~(bands[x, :band[0]] == bands[y, :band[0]]).any(axis=1)
+        x, y = x[first], y[first]
+    return x, y
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches that hold one block each, of rows sorted by (key, i, j)."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        keys = np.stack([table.column(c).to_numpy() for c in range(3)])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts[:-1]], cuts, strict=False):
+            yield table.slice(a, b - a)
+        rest = table.slice(cuts[-1] if len(cuts) else 0)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _arrays(table: pa.Table) -> dict[str, np.ndarray]:
+    out = {c: table.column(c).to_numpy() for c in ("side", "component", "n", "band")}
+    for c, width in (("sig", MINIMA // LANES), ("bands", BANDS)):
+        out[c] = table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, width)
+    return out
+
 
+def _filtered(least: int, percent: int):
+    """Blocks -> their rows that are in any surviving pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            now = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
-            rest = now if rest is None else np.concatenate([rest, now], axis=1)
-            edges = np.flatnonzero((rest[:3, 1:] != rest[:3, :-1]).any(axis=0)) + 1
-            if len(edges):
-                yield _pairs(rest[:, :edges[-1]], np.concatenate([[0], edges]))
-                rest = rest[:, edges[-1]:]
-        if rest is not None and rest.shape[1]:
-            yield _pairs(rest, np.array([0, rest.shape[1]]))
-
-    def _pairs(rows, cuts):
-        found = [compare(rows[3, a:b], rows[4, a:b], rows[5, a:b], rows[6, a:b], rows[7:, a:b].T.copy().view(np.uint64))
-                 for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        left, right = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-        both = np.unique(np.stack([left, right], axis=1), axis=0) if len(left) else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        for table in _blocks(batches):
+            if table.num_rows > 1:
+                x, y = _survivors(_arrays(table), least, percent)
+                if len(x):
+                    yield from table.take(pa.array(np.union1d(x, y))).combine_chunks().to_batches()
+    return run
+
+
+def _exact(k: int, least: int, percent: int):
+    """Blocks with texts -> a spanning forest of the links among their surviving pairs, confirmed on the full sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _blocks(batches):
+            x, y = _survivors(_arrays(table), least, percent)
+            sets: list[np.ndarray] = []
+            for _, data, offsets in text_slices(table.column("text")):
+                sets += shingle_sets(data, offsets, k)
+            sizes = np.array([len(s) for s in sets])
+            _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+            at = np.concatenate([[0], np.cumsum(sizes)])
+            mine, parent, found = np.zeros(ids.max() + 1, bool), list(range(len(sets))), []
+
+            def root(i: int, parent=parent) -> int:
+                while parent[i] != i:
+                    parent[i] = parent[parent[i]]
+                    i = parent[i]
+                return i
+
+            for i in np.unique(x).tolist():
+                others = y[x == i]
+                mine[ids[at[i]:at[i + 1]]] = True
+                for j in others.tolist():
+                    if root(i) != root(j):
+                        both = int(mine[ids[at[j]:at[j + 1]]].sum())
+                        if 100 * both >= percent * (sizes[i] + sizes[j] - both):
+                            parent[root(j)] = root(i)
+                            found.append((i, j))
+                mine[ids[at[i]:at[i + 1]]] = False
+            if found:
+                names = table.column("id").to_numpy()
+                i, j = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(names[i]), pa.array(names[j])], names=["a", "b"])
     return run
 
 
-def cross_candidates(members: DataFrame, signed_classes: DataFrame, component: DataFrame, threshold: float, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) that share a bucket and lie in different components so far."""
+BLOCK_SCHEMA = "key long, i int, j int, id long, side int, component long, n long, band int, sig array<long>, bands array<long>"
+
+
+def cross_links(members: DataFrame, classes: DataFrame, component: DataFrame, texts: DataFrame, words: int, threshold: float,
+                percent: int) -> DataFrame:
+    """Links (a, b) between classes that share a bucket but lie in different components so far.
+
+    Blocks first meet with signatures alone; only rows in a surviving pair move again, with their texts. Pairs never leave
+    a block: of its links it returns a spanning forest."""
     placed = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_buckets = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                                F.count("*").alias("size"))
                      .where("low < high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    sigs = signed_classes.select("id", "n", *[F.col("sig")[i].alias(f"s{i}") for i in range(MINIMA // LANES)])
     rows = (placed.join(mixed_buckets, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-            .join(sigs, "id"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    met = rows.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id",
-        F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
-        "component", "n", *[f"s{i}" for i in range(MINIMA // LANES)])
-    return (met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(_cross(least_lanes(threshold), percent), "a long, b long").distinct())
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .join(classes.select("id", "n", "sig", "bands"), "id"))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    met = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", side.alias("side"),
+                      "component", "n", "band", "sig", "bands")
+    least = least_lanes(threshold)
+    # rows of a block's two sides that survive keep their order and side, so blocks can be told apart again
+    left = stored(met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+                  .mapInArrow(_filtered(least, percent), BLOCK_SCHEMA), "minhash-blocks")
+    full = left.join(texts, "id").select(*[c.split()[0] for c in BLOCK_SCHEMA.split(", ")], "text")
+    return (full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+            .mapInArrow(_exact(words, least, percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_col: str = "doc_id",
@@ -221,7 +287,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     classes = signed_docs.join(sets.select(F.col("first").alias("id"), "set_a", "set_b", "n"), ["id", "set_a", "set_b", "n"], "left_semi")
     classes = stored(classes.dropDuplicates(["id", "set_a", "set_b"]).select("id", "n", "sig", "bands"), "minhash-representatives")
 
-    keyed = classes.select("id", F.explode("bands").alias("key"))
+    keyed = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
     members = stored(keyed.join(shared, "key"), "minhash-members")
     in_bucket = members.select("id").distinct()
@@ -238,8 +304,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     links = stored(confirmed(nearest, texts, words, percent), "minhash-links")
 
     component = connected_components(links)
-    across = cross_candidates(members.select("key", "id"), signature, component, threshold, percent)
-    more = stored(confirmed(stored(across, "minhash-cross"), texts, words, percent), "minhash-cross-links")
+    more = stored(cross_links(members.select("key", "band", "id"), classes, component, texts, words, threshold, percent), "minhash-cross-links")
     component = connected_components(links.unionByName(more))
 
     placed = (sets.join(component.withColumnRenamed("id", "first"), "first", "left")
