@@ -126,6 +126,11 @@ def _runs(*pairs: str) -> str:
 
 
 add("sales_days", "select order_date as date_key, count(order_id) as n from silver_orders group by order_date")
+add("fact_days", " union all ".join(
+    f"select cast(min({c}) as date) as lo, cast(max({c}) as date) as hi from silver_{t}" for t, c in (
+        ("orders", "order_date"), ("payments", "payment_date"), ("shipments", "shipped_date"), ("shipments", "actual_delivery"),
+        ("shipments", "estimated_delivery"), ("refunds", "requested_date"), ("refunds", "processed_date"), ("reviews", "review_date"),
+        ("sessions", "session_date"), ("cart_events", "event_date"))))
 add("gold_dim_date", f"""
 select *, festive_event_name is not null as is_festive_day from (select *,
   case when is_diwali then 'Diwali' when is_dhanteras then 'Dhanteras' when is_dhamaka_days then 'Dhamaka Days'
@@ -154,7 +159,7 @@ from (select date_key, cast(year(date_key) as integer) as year, cast(month(date_
   month(date_key) in (12, 1, 2, 4) or (month(date_key) in (11, 3) and day(date_key) >= 15) as is_wedding_season,
   {_runs('2020-03-25 2020-06-07')} as is_covid_lockdown, coalesce(n, 0) as orders_placed
 from (select cast(x as date) as date_key from (select unnest(generate_series(lo, hi, interval 1 day)) as x
-      from (select cast(min(date_key) as timestamp) as lo, cast(max(date_key) as timestamp) as hi from sales_days)))
+      from (select cast(least(min(lo), date '2020-01-01') as timestamp) as lo, cast(greatest(max(hi), date '2026-12-31') as timestamp) as hi from fact_days)))
 left join sales_days using (date_key)))""")
 
 add("gold_dim_customer", """

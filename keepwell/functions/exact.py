@@ -31,5 +31,7 @@ def ratio(part: Column, whole: Column, digits: int = 2, scale: int = 1) -> Colum
 
 
 def correlation(a: str, b: str) -> Column:
-    """Pearson correlation; null, not an error, when a column is constant."""
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    """Pearson correlation over the rows that have both values; null, not an error, when a column is constant there."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

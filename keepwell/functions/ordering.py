@@ -3,45 +3,61 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwell.session import stored
 
 ACCURACY = 20_000
+WIDEST = 4_096  #: distinct values that may be left in a bracket when it is ranked
 
 
 def order_statistics(df: DataFrame, column: str, probs: list[float]) -> list[tuple[float, float, float]]:
     """(lower, upper, weight) around rank (n - 1) * p for each p; empty columns give no tuples.
 
-    Three passes, each returning a handful of numbers: a count, a quantile sketch that brackets every
-    rank within n / ACCURACY positions, and the counts around the brackets. Values inside a bracket
-    are counted one by one and everything between brackets collapses to one count, so what is ranked
-    at the end is bounded by the sketch accuracy and not by the table. Should a rank fall outside its bracket this raises instead of
-    answering approximately. Callers pass a written or cached table.
+    A quantile sketch brackets every rank; inside a bracket another sketch narrows it, until at most WIDEST distinct values are
+    left. Each round is one pass that returns a few numbers per rank, and shrinks brackets by a factor of thousands, so
+    what is ranked in the end is bounded whatever the table's size. A bracket that misses its rank is opened to the nearest known
+    bounds and narrowed again: the result is exact. Callers pass a written or cached table.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    n = values.count()
+    whole = values.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    n = whole["n"]
     if not n:
         return []
-    margin = 2.0 / ACCURACY + 2.0 / n
-    wanted = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
-    edges = values.agg(F.percentile_approx("v", wanted, ACCURACY)).first()[0]
-    v = F.col("v")
-    inside = reduce(Column.__or__, [v.between(edges[2 * i], edges[2 * i + 1]) for i in range(len(probs))])
-    gap = sum((F.when(v > e, 1).otherwise(0) for e in edges), F.lit(0))
-    counted = (values.groupBy(F.when(inside, v).alias("inside"), F.when(~inside, gap).alias("gap"))
-               .agg(F.max("v").alias("top"), F.count("v").alias("rows")))
-    ranked = counted.withColumn("until", F.sum("rows").over(Window.orderBy("top")))
     ranks = [(n - 1) * p for p in probs]
-    found = ranked.agg(*[
-        F.min(F.when(F.col("until") > r, F.struct("top", F.col("inside").isNull().alias("collapsed"))))
-        for rank in ranks for r in (math.floor(rank), math.ceil(rank))]).first()
-    if any(hit["collapsed"] for hit in found):
-        raise ArithmeticError("a rank fell outside its bracket")
-    return [(found[2 * i]["top"], found[2 * i + 1]["top"], rank - math.floor(rank)) for i, rank in enumerate(ranks)]
+    ends = [(math.floor(r), math.ceil(r)) for r in ranks]
+    # per rank: outer bounds known to hold it, and the rows below them
+    held = [(whole["lo"], whole["hi"], 0, n, None)] * len(probs)
+    v, margin = F.col("v"), 2.0 / ACCURACY
+    while any(h[4] is None for h in held):
+        wanted = [min(1.0, max(0.0, (r - below) / max(inside, 1) + side * (margin + 2.0 / max(inside, 1))))
+                  for (low, high), (_, _, below, inside, _) in zip(ends, held, strict=True) for r, side in ((low, -1), (high, 1))]
+        sketches = values.agg(*[
+            F.percentile_approx(F.when(v.between(h[0], h[1]), v), wanted[2 * i:2 * i + 2], ACCURACY).alias(f"s{i}") for i, h in enumerate(held)]).first()
+        tried = [tuple(s) for s in sketches]
+        counts = values.agg(*[c for i, (lo, hi) in enumerate(tried) for c in (
+            F.count_if(v < lo).alias(f"below{i}"), F.count_if(v.between(lo, hi)).alias(f"inside{i}"),
+            F.approx_count_distinct(F.when(v.between(lo, hi), v), 0.05).alias(f"distinct{i}"))]).first()
+        after = []
+        for i, ((low, high), old, (lo, hi)) in enumerate(zip(ends, held, tried, strict=True)):
+            below, inside, distinct = (counts[f"{k}{i}"] for k in ("below", "inside", "distinct"))
+            if old[4] is not None:
+                after.append(old)
+            elif not below <= low <= high < below + inside:
+                after.append(old)  # missed: tried again with a wider margin
+                margin *= 16
+            else:
+                done = lo == hi or distinct <= WIDEST // 2 or (lo, hi) == old[:2]
+                after.append((lo, hi, below, inside, True if done else None))
+        held = after
+    out = []
+    for i, ((low, high), (lo, hi, below, _, _)) in enumerate(zip(ends, held, strict=True)):
+        left = values.where(v.between(lo, hi)).groupBy("v").agg(F.count("v").alias("rows"))
+        ranked = left.withColumn("until", F.lit(below) + F.sum("rows").over(Window.orderBy("v")))
+        found = ranked.agg(F.min(F.when(F.col("until") > low, v)), F.min(F.when(F.col("until") > high, v))).first()
+        out.append((found[0], found[1], ranks[i] - low))
+    return out
 
 
 def quantiles(df: DataFrame, column: str, probs: list[float]) -> list[float | None]:

@@ -6,6 +6,8 @@ measured size is under the session threshold and otherwise shuffles (with AQE sk
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,10 @@ from keepwell.functions import exact
 DIWALI = ("2020-11-14", "2021-11-04", "2022-10-24", "2023-11-12", "2024-11-01", "2025-10-20", "2026-11-08")
 DHANTERAS = ("2020-11-13", "2021-11-02", "2022-10-22", "2023-11-10", "2024-10-29", "2025-10-18", "2026-11-06")
 HOLI = ("2020-03-09", "2021-03-28", "2022-03-18", "2023-03-07", "2024-03-25", "2025-03-14", "2026-03-04")
-DHAMAKA_STARTS = ("2020-11-02", "2021-10-23", "2022-10-12", "2023-10-31", "2024-10-20", "2025-10-08", "2026-10-27")
-DHAMAKA_LENGTH = 10
-NAVRATRI_STARTS = ("2020-10-17", "2021-10-07", "2022-10-02", "2023-10-15", "2024-10-03", "2025-09-22", "2026-10-11")
-NAVRATRI_LENGTH = 9
+DHAMAKA = (("2020-11-02", "2020-11-11"), ("2021-10-23", "2021-11-01"), ("2022-10-12", "2022-10-21"), ("2023-10-31", "2023-11-09"),
+           ("2024-10-20", "2024-10-29"), ("2025-10-08", "2025-10-17"), ("2026-10-27", "2026-11-05"))
+NAVRATRI = (("2020-10-17", "2020-10-25"), ("2021-10-07", "2021-10-15"), ("2022-10-02", "2022-10-10"), ("2023-10-15", "2023-10-23"),
+            ("2024-10-03", "2024-10-11"), ("2025-09-22", "2025-09-30"), ("2026-10-11", "2026-10-19"))
 LOCKDOWN = ("2020-03-25", "2020-06-07")
 WEDDING_PATTERN = "month in (12, 1, 2, 4) or (month in (11, 3) and day >= 15)"
 EOS_PATTERN = "month in (3, 6) and day between 20 and 29"
@@ -35,10 +37,9 @@ def _on(days) -> Column:
     return F.col("date_key").isin([F.lit(d).cast("date") for d in days])
 
 
-def _span(starts, length: int) -> Column:
-    """Inside one of the runs of `length` days: days since the latest start on or before the date."""
-    past = F.array_max(F.filter(F.array(*[F.lit(s).cast("date") for s in starts]), lambda s: s <= F.col("date_key")))
-    return F.coalesce(F.datediff("date_key", past) < length, F.lit(False))
+def _during(runs) -> Column:
+    """Inside one of the runs of days, both ends included."""
+    return reduce(Column.__or__, [F.col("date_key").between(*[F.lit(x).cast("date") for x in run]) for run in runs])
 
 
 def dim_date(spark, start=CALENDAR_START, end=CALENDAR_END) -> DataFrame:
@@ -62,7 +63,7 @@ def calendar(days: DataFrame) -> DataFrame:
         "is_weekend": F.col("day_of_week").isin(1, 7),
         "fiscal_year": F.year(april_based), "fiscal_quarter": F.quarter(april_based),
         "is_diwali": _on(DIWALI), "is_dhanteras": _on(DHANTERAS), "is_holi": _on(HOLI),
-        "is_dhamaka_days": _span(DHAMAKA_STARTS, DHAMAKA_LENGTH), "is_navratri": _span(NAVRATRI_STARTS, NAVRATRI_LENGTH),
+        "is_dhamaka_days": _during(DHAMAKA), "is_navratri": _during(NAVRATRI),
         "is_republic_day": F.expr("month = 1 and day = 26"), "is_independence_day": F.expr("month = 8 and day = 15"),
         "is_valentines_day": F.expr("month = 2 and day = 14"), "is_christmas": F.expr("month = 12 and day = 25"),
         "is_new_year": F.expr("month = 1 and day = 1"), "is_eos_sale": F.expr(EOS_PATTERN),
@@ -72,9 +73,18 @@ def calendar(days: DataFrame) -> DataFrame:
     return flags.withColumns({"festive_event_name": label, "is_festive_day": label.isNotNull()})
 
 
-def sales_calendar(orders: DataFrame) -> DataFrame:
-    """The calendar over the days orders were placed, with the number of orders of each day."""
-    bounds = orders.agg(F.struct(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).alias("b")).scalar()
+# dates of the facts, which the calendar must cover: silver table -> columns
+FACT_DATES = {"orders": ("order_date",), "payments": ("payment_date",), "shipments": ("shipped_date", "actual_delivery", "estimated_delivery"),
+              "refunds": ("requested_date", "processed_date"), "reviews": ("review_date",), "sessions": ("session_date",), "cart_events": ("event_date",)}
+
+
+def sales_calendar(orders: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+    """Every day of the fixed calendar, widened where a fact lies outside it, with the number of orders of each day."""
+    spans = [facts[t].agg(F.min(F.least(*cols) if len(cols) > 1 else cols[0]).cast("date").alias("lo"),
+                          F.max(F.greatest(*cols) if len(cols) > 1 else cols[0]).cast("date").alias("hi")) for t, cols in FACT_DATES.items()]
+    every = reduce(DataFrame.unionByName, spans)
+    bounds = every.agg(F.struct(F.least(F.min("lo"), F.lit(CALENDAR_START).cast("date")).alias("lo"),
+                                F.greatest(F.max("hi"), F.lit(CALENDAR_END).cast("date")).alias("hi")).alias("b")).scalar()
     days = dim_date(orders.sparkSession, bounds["lo"], bounds["hi"])
     placed = orders.groupBy(F.col("order_date").alias("date_key")).agg(F.count("order_id").alias("orders_placed"))
     return days.join(placed, "date_key", "left").fillna(0, subset=["orders_placed"])

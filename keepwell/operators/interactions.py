@@ -31,8 +31,10 @@ def liked(reviews: DataFrame) -> DataFrame:
 
 
 def within_months(df: DataFrame, date: str, months: int, as_of: Column) -> DataFrame:
-    """Rows at most `months` months before `as_of`; undated rows drop out."""
-    return df.where(F.months_between(as_of, F.col(date)) <= months)
+    """Rows at most `months` months before `as_of`; undated rows drop out. The plain bound in front of the exact test is one
+    that a scan can use; it is a few days wider, for the ends of months."""
+    earliest = F.date_sub(F.add_months(as_of, -months), 4)
+    return df.where((F.col(date) >= earliest) & (F.months_between(as_of, F.col(date)) <= months))
 
 
 def signals(orders: DataFrame, cart_events: DataFrame, reviews: DataFrame) -> DataFrame:

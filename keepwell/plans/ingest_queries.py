@@ -13,7 +13,7 @@ from keepwell.plans.registry import query
 from keepwell.session import scratch_path
 from keepwell.sources import files, jdbc
 from keepwell.sources.schemas import DUAL, FILES_ONLY, HISTORY, TOPICS
-from keepwell.streaming import alerts, ingest
+from keepwell.streaming import alerts, evolving, ingest
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -92,6 +92,37 @@ def _evolution(lake):
     return files.read_evolving(lake.spark, [first, second])
 
 
+def _evolving(lake, name: str) -> DataFrame:
+    """Two deliveries of a feed: the first lacks its last column, the second has all of them in reverse order."""
+    base, raw = scratch_path(lake.spark, f"land_evolving_{name}"), lake.raw(name)
+    raw = raw.where("_source = 'history_files'").select(*HISTORY[name].fieldNames()) if name in HISTORY else _plain(raw)
+    key = raw.columns[0]
+    early = F.coalesce(F.substring(F.md5(F.col(key).cast("string")), 1, 1) < "8", F.lit(False))
+    _as_csv(raw.where(early).drop(raw.columns[-1]), f"{base}/in/first")
+    _as_csv(raw.where(~early).select(*reversed(raw.columns)), f"{base}/in/second")
+    options = files.MULTILINE if name == "reviews" else files.CSV
+    return evolving.ingest_evolving(lake.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", options)
+
+
+for _name in (*FILES_ONLY, *DUAL):
+    query(f"ingest_evolving_{_name}")(lambda lake, n=_name: _traced(_evolving(lake, n)))
+
+
+@query("ingest_corrupt_messages")
+def _corrupt(lake):
+    """Messages of every topic, one in sixteen cut short: how many are rows and how many are kept aside."""
+    parts = []
+    for topic, schema in TOPICS.items():
+        first = schema.fieldNames()[0]
+        sent = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "false"})
+        cut = F.coalesce(F.substring(F.md5(F.col(first)), 1, 1) == "0", F.lit(False))
+        value = F.when(cut, F.substr(sent, F.lit(1), F.length(sent) - 1)).otherwise(sent).cast("binary")
+        messages = lake.raw(topic).where("_source = 'live_events'").select(value.alias("value"))
+        for kind, rows in (("rows", ingest.decode(messages, topic)), ("corrupt", ingest.corrupt(messages, topic))):
+            parts.append(rows.agg(F.count(F.lit(1)).alias("messages")).select(F.lit(topic).alias("topic"), F.lit(kind).alias("kind"), "messages"))
+    return files.stacked(parts)
+
+
 query("ingest_master_counts")(lambda lake: files.row_counts({t: jdbc.stamped(lake.raw(t)) for t in jdbc.MASTERS}))
 
 

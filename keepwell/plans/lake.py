@@ -30,7 +30,7 @@ class Lake:
 
     def gold(self, name: str) -> DataFrame:
         if name == "dim_date":
-            return gold.sales_calendar(self.table("orders"))
+            return gold.sales_calendar(self.table("orders"), {t: self.table(t) for t in gold.FACT_DATES})
         return gold.build(name, self.table)
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

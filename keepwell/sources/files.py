@@ -8,7 +8,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from keepwell.operators.profiling import stacked
 
-CSV = {"header": "true", "escape": '"'}
+# a header that differs from the schema is an error, not a shift of columns; streaming.evolving reads deliveries whose headers differ
+CSV = {"header": "true", "escape": '"', "enforceSchema": "false"}
 # text with line breaks: such files cannot be split, so it is asked for only where needed
 MULTILINE = {**CSV, "multiLine": "true"}
 # layouts a value must match to be inferred as a date or time; '2024-05' stays text

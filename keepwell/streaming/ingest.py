@@ -16,8 +16,8 @@ from keepwell.sources.files import CSV, lineage
 from keepwell.sources.schemas import HISTORY, TOPICS
 
 HISTORY_SOURCE, LIVE_SOURCE = "history_files", "live_events"
-# fixed values: topic reads start at the beginning, 500 offsets per trigger, and survive expired offsets
-KAFKA = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "500", "failOnDataLoss": "false"}
+# topic reads start at the beginning; offsets that expired before they were read are an error
+KAFKA = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 FILES_PER_TRIGGER = 1000
 
 
@@ -29,9 +29,10 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, source: st
     return lineage(raw, source)
 
 
-def kafka_options(servers: str, topic: str, per_trigger: int | None = None, **security: str) -> dict[str, str]:
-    """Reader options of a topic; `security` holds further `kafka.` settings with underscores for dots."""
-    out = {**KAFKA, "kafka.bootstrap.servers": servers, "subscribe": topic}
+def kafka_options(servers: str, topic: str, per_trigger: int | None = None, tolerate_loss: bool = False, **security: str) -> dict[str, str]:
+    """Reader options of a topic; `security` holds further `kafka.` settings with underscores for dots. Without `per_trigger`
+    a trigger takes all there is; `tolerate_loss` goes on after expired offsets, which then are missing."""
+    out = {**KAFKA, "kafka.bootstrap.servers": servers, "subscribe": topic, "failOnDataLoss": str(not tolerate_loss).lower()}
     if per_trigger:
         out["maxOffsetsPerTrigger"] = str(per_trigger)
     out.update({"kafka." + k.replace("_", "."): v for k, v in security.items()})
@@ -54,12 +55,30 @@ def json_lines(spark: SparkSession, folder: str, streaming: bool = True) -> Data
     return reader.text(folder).select(F.col("value").cast("binary").alias("value"))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _opened(messages: DataFrame, topic: str) -> DataFrame:
+    """(value, data): the message's text and its fields, with the text again in CORRUPT where it is no JSON object."""
+    schema = StructType([*TOPICS[topic].fields, StructField(CORRUPT, StringType())])
+    text = F.col("value").cast("string")
+    read = messages.select(text.alias("value"), F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("data"))
+    return read.withColumn("broken", F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull())
+
+
 def decode(messages: DataFrame, topic: str) -> DataFrame:
-    """Binary messages -> typed columns of the topic -> lineage."""
-    fields = messages.select(F.from_json(F.col("value").cast("string"), TOPICS[topic]).alias("data")).select("data.*")
+    """Binary messages -> typed columns of the topic -> lineage. Messages that are no JSON object are not rows of the
+    topic; `corrupt` has them."""
+    fields = _opened(messages, topic).where("not broken").select("data.*").drop(CORRUPT)
     return lineage(fields, LIVE_SOURCE, "topic")
 
 
+def corrupt(messages: DataFrame, topic: str) -> DataFrame:
+    """The messages that `decode` can't read, as they came: the side table to write beside the topic's own."""
+    broken = _opened(messages, topic).where("broken").select(F.lit(topic).alias("topic"), F.col("value").alias(CORRUPT))
+    return lineage(broken, LIVE_SOURCE, "topic")
+
+
 def dual_source(spark: SparkSession, table: str, history_folder: str, messages: DataFrame) -> DataFrame:
     """History files and live messages of one table; columns only one side has are null on the other."""
     history = file_stream(spark, history_folder, HISTORY[table], HISTORY_SOURCE)

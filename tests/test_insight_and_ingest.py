@@ -71,7 +71,9 @@ def test_topic_schemas_have_the_declared_fields():
 
 def test_kafka_and_jdbc_options():
     live = ingest.kafka_options("host:9093", "orders", sasl_mechanism="PLAIN")
-    assert live["maxOffsetsPerTrigger"] == "500" and live["startingOffsets"] == "earliest" and live["kafka.sasl.mechanism"] == "PLAIN"
+    assert "maxOffsetsPerTrigger" not in live and live["failOnDataLoss"] == "true" and live["startingOffsets"] == "earliest" and live["kafka.sasl.mechanism"] == "PLAIN"
+    limited = ingest.kafka_options("host:9093", "orders", per_trigger=500, tolerate_loss=True)
+    assert limited["maxOffsetsPerTrigger"] == "500" and limited["failOnDataLoss"] == "false"
     assert ingest.bounded(live)["endingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in ingest.bounded(live)
     split = jdbc.options("jdbc:x", "products", split_on="id", bounds=(1, 9), partitions=4)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "9", "4")
@@ -98,3 +100,24 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_alert_stream(spark):
     out = QUERIES["report_alerts_streamed"](spark, SMALL)
     assert {"review_id", "offers", "churn_probability"} <= set(out.columns)
+
+
+def test_reordered_header_is_an_error_and_an_evolving_feed(spark):
+    from keepwell.sources.schemas import text_schema
+    from keepwell.streaming import evolving
+    base = scratch_path(spark, "drift")
+    spark.createDataFrame([("R1", "open")], "refund_id string, status string").write.option("header", True).csv(f"{base}/in/1")
+    spark.createDataFrame([("R2", "damaged", "closed")], "refund_id string, reason string, status string").write.option("header", True).csv(f"{base}/in/2")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, f"{base}/in/2", text_schema("refund_id status")).collect()
+    got = evolving.ingest_evolving(spark, f"{base}/in", f"{base}/out", f"{base}/check")
+    assert {(r.refund_id, r.reason, r.status) for r in got.collect()} == {("R1", None, "open"), ("R2", "damaged", "closed")}
+    spark.createDataFrame([("new", "x", "R3")], "extra string, status string, refund_id string").write.option("header", True).csv(f"{base}/in/3")
+    got = evolving.ingest_evolving(spark, f"{base}/in", f"{base}/out", f"{base}/check")
+    assert {(r.refund_id, r.status, r.extra) for r in got.collect()} == {("R1", "open", None), ("R2", "closed", None), ("R3", "x", "new")}
+
+
+def test_corrupt_messages_are_kept_aside(spark):
+    sent = spark.createDataFrame([(b'{"payment_id": "1"}',), (b'{"payment_id": ',), (b"",), (None,)], "value binary")
+    assert [r.payment_id for r in ingest.decode(sent, "payments").collect()] == ["1"]
+    assert ingest.corrupt(sent, "payments").count() == 3

@@ -77,3 +77,26 @@ def test_correlation_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, 7.0, 5.0)], "a double, b double, c double")
     row = df.agg(exact.correlation("a", "b").alias("ab"), exact.correlation("a", "c").alias("ac")).first()
     assert row["ac"] is None and np.isclose(row["ab"], np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1])
+
+
+def test_correlation_uses_the_rows_that_have_both(spark):
+    from keepwell.functions.exact import correlation
+    rows = [(1.0, 2.0, 7.0), (2.0, None, 7.0), (3.0, 5.0, 7.0), (4.0, 4.0, 7.0), (None, 100.0, 7.0)]
+    got = spark.createDataFrame(rows, "a double, b double, c double").agg(correlation("a", "b").alias("ab"), correlation("a", "c").alias("ac")).first()
+    assert np.isclose(got.ab, np.corrcoef([1, 3, 4], [2, 5, 4])[0, 1]) and got.ac is None
+
+
+def test_what_is_ranked_stays_small(spark, monkeypatch):
+    from keepwell.functions import ordering
+    monkeypatch.setattr(ordering, "ACCURACY", 50)
+    monkeypatch.setattr(ordering, "WIDEST", 400)
+    ranked = []
+    over = ordering.Window.orderBy
+    monkeypatch.setattr(ordering.Window, "orderBy", lambda *a: (ranked.append(a), over(*a))[1])
+    values = spark.range(300_000).selectExpr("cast(id * 7919 % 300007 as double) as v").cache()
+    got = ordering.order_statistics(values, "v", [0.001, 0.5, 0.99])
+    expect = np.sort(values.toPandas()["v"].to_numpy())
+    for (low, high, _), p in zip(got, [0.001, 0.5, 0.99]):
+        r = (len(expect) - 1) * p
+        assert (low, high) == (expect[int(np.floor(r))], expect[int(np.ceil(r))])
+    values.unpersist()
