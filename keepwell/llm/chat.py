@@ -83,6 +83,10 @@ def _canonical_role(role: Column) -> Column:
     return F.coalesce(known[plain], plain)
 
 
+def _listed_turn(layout: dict):
+    return lambda t: F.struct(_canonical_role(t[layout["role"]]).alias("role"), F.coalesce(t[layout["text"]], F.lit("")).alias("text"))
+
+
 def turns_of_records(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(conversation, fingerprint, turns) of JSON records of mixed layouts; turns is null where no mapping fits."""
     value = F.try_parse_json(F.col(json_col))
@@ -99,9 +103,7 @@ def turns_of_records(records: DataFrame, id_col: str, json_col: str) -> DataFram
     for mark, layout in RECORD_MAPPINGS.items():
         if "list" in layout:
             kind = f"array<struct<`{layout['role']}`:string,`{layout['text']}`:string>>"
-            role, text = layout["role"], layout["text"]
-            built = F.transform(F.try_variant_get("v", "$." + layout["list"], kind), lambda t, r=role, x=text: F.struct(
-                _canonical_role(t[r]).alias("role"), F.coalesce(t[x], F.lit("")).alias("text")))
+            built = F.transform(F.try_variant_get("v", "$." + layout["list"], kind), _listed_turn(layout))
         else:
             built = F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(got(p), F.lit("")).alias("text")) for r, p in layout["turns"]])
         turns = F.when(F.col("fingerprint") == mark, built).otherwise(turns)
