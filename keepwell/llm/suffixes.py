@@ -102,7 +102,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extended(least: int):
-    """(row, id, text, places) -> (key, id, row, start): every suffix of `least` words that reaches a match."""
+    """(row, id, text, places) -> (key, id, row, starts): every suffix of `least` words that reaches a match, one row per text
+    and key, so a text that repeats one word doesn't make its key hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -119,9 +120,13 @@ def _extended(least: int):
                     np.add.at(near, (at + 1).clip(0, b - a), -1)
                     starts = np.flatnonzero(np.cumsum(near[:b - a - least + 1]) > 0)
                     if len(starts):
+                        order = np.argsort(runs[a + starts], kind="stable")
+                        starts = starts[order]
+                        key = runs[a + starts]
+                        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(signed(runs[a + starts])), pa.array(np.full(len(starts), ids[i])),
-                             pa.array(np.full(len(starts), rows[i])), pa.array(starts.astype(np.int32))], names=["key", "id", "row", "start"])
+                            [pa.array(signed(key[first])), pa.array(np.full(len(first), ids[i])), pa.array(np.full(len(first), rows[i])),
+                             list_column(starts.astype(np.int32), np.append(first, len(starts)), pa.int32())], names=["key", "id", "row", "starts"])
     return run
 
 
@@ -187,11 +192,12 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     matched = stored(matched, "suffix-matches")
     held = texts.join(matched, "id").dropDuplicates(["id", "text"]).select(F.monotonically_increasing_id().alias("row"), "id", "text", "places")
     held = stored(held, "suffix-texts")
-    starts = held.mapInArrow(_extended(least), "key long, id long, row long, start int")
+    starts = held.mapInArrow(_extended(least), "key long, id long, row long, starts array<int>")
     starts = stored(starts, "suffix-starts")
     repeated = (starts.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"))
     found = (starts.join(repeated, "key").groupBy("row")
-             .agg(F.collect_list("start").alias("starts"), F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
+             .agg(F.flatten(F.collect_list("starts")).alias("starts"),
+                  *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(f"{c}s") for c in ("low", "high")]))
     return (held.join(found, "row").select("id", "text", "starts", "lows", "highs").mapInArrow(_spans(least), SPAN_SCHEMA))
 
 
