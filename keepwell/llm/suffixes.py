@@ -8,7 +8,8 @@ partitions. Neighbours with the same prefix are matches of that length.
 
 Each match is then extended to the left and right: every start from which a passage of LEAST words reaches the match gives
 a suffix of LEAST words, and these are compared across documents exactly (by 64-bit hashes of their words). Starts that match join into maximal
-passages of any length. Only lowest and highest document per passage are kept, never the pairs of a group.
+passages of any length. Only lowest and highest document per passage are kept, never the pairs of a group. Equal texts are
+extended once, and what is found goes to all of them.
 
 Words are `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased. Rows with the same id are one document: what only they share is no
 repeat. A null text has no words; rows with a null id are left as they are and found in no other document. Texts shorter than
@@ -28,6 +29,7 @@ from keepwell.llm.hashing import SPACED, Words, list_column, shingles, signed, t
 from keepwell.session import stored
 
 LEAST, GRAM, SPREAD = 50, 8, 16
+COPIES = 1024  #: copies of one text that a task serves at a time
 
 
 def _running(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -102,13 +104,13 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extended(least: int):
-    """(row, id, text, places) -> (key, id, row, starts): every suffix of `least` words that reaches a match, one row per text
-    and key, so a text that repeats one word doesn't make its key hot."""
+    """(row, low, high, text, places) -> (key, row, low, high, starts): every suffix of `least` words that reaches a match, one
+    row per text and key, so a text that repeats one word doesn't make its key hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            places = batch.column(3)
-            for row, data, offsets in text_slices(batch.column(2)):
+            own = [batch.column(c).to_numpy() for c in range(3)]
+            places = batch.column(4)
+            for row, data, offsets in text_slices(batch.column(3)):
                 words = Words(data, offsets, SPACED)
                 runs = shingles(words.hash, least)
                 for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True), row):
@@ -125,8 +127,9 @@ def _extended(least: int):
                         key = runs[a + starts]
                         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(signed(key[first])), pa.array(np.full(len(first), ids[i])), pa.array(np.full(len(first), rows[i])),
-                             list_column(starts.astype(np.int32), np.append(first, len(starts)), pa.int32())], names=["key", "id", "row", "starts"])
+                            [pa.array(signed(key[first])), *[pa.array(np.full(len(first), c[i])) for c in own],
+                             list_column(starts.astype(np.int32), np.append(first, len(starts)), pa.int32())],
+                            names=["key", "row", "low", "high", "starts"])
     return run
 
 
@@ -190,14 +193,25 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
                .mapInArrow(_neighbours, "id long, places array<int>")
                .groupBy("id").agg(F.flatten(F.collect_list("places")).alias("places")))
     matched = stored(matched, "suffix-matches")
-    held = texts.join(matched, "id").dropDuplicates(["id", "text"]).select(F.monotonically_increasing_id().alias("row"), "id", "text", "places")
+    held = texts.join(matched, "id").dropDuplicates(["id", "text"]).select(
+        F.monotonically_increasing_id().alias("row"), F.md5("text").alias("digest"), "id", "text", "places")
     held = stored(held, "suffix-texts")
-    starts = held.mapInArrow(_extended(least), "key long, id long, row long, starts array<int>")
+    # equal texts have the same suffixes, so one of them stands for all of them with their lowest and highest id
+    versions = stored(held.groupBy("digest").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min_by("row", "id").alias("first_row"),
+                                                 F.ceil(F.count("*") / COPIES).cast("int").alias("groups")), "suffix-versions")
+    shown = held.join(versions.select(F.col("first_row").alias("row"), "low", "high"), "row")
+    starts = shown.select("row", "low", "high", "text", "places").mapInArrow(_extended(least), "key long, row long, low long, high long, starts array<int>")
     starts = stored(starts, "suffix-starts")
-    repeated = (starts.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"))
-    found = (starts.join(repeated, "key").groupBy("row")
+    repeated = (starts.groupBy("key").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).where("lowest < highest"))
+    found = (starts.select("key", "row", "starts").join(repeated, "key").groupBy("row")
              .agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                  *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(f"{c}s") for c in ("low", "high")]))
+                  *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(n) for c, n in (("lowest", "lows"), ("highest", "highs"))]))
+    # what was found for a text goes to its copies in groups of COPIES, so no task serves all copies of one text
+    dealt = (found.join(versions.select(F.col("first_row").alias("row"), "digest", "groups"), "row").drop("row")
+             .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups"))
+    members = (held.select("row", "digest").join(versions.select("digest", "groups"), "digest")
+               .select("row", "digest", F.pmod(F.xxhash64("row"), "groups").cast("int").alias("group")))
+    found = members.join(dealt, ["digest", "group"]).select("row", "starts", "lows", "highs")
     return (held.join(found, "row").select("id", "text", "starts", "lows", "highs").mapInArrow(_spans(least), SPAN_SCHEMA))
 
 
