@@ -269,3 +269,19 @@ from (select count(*) as customers, {money_total('total_spent')} as spend from c
 CHECKS["report_heat_map"] = "select rfm_segment, " + ", ".join(
     f"count(*) filter (retention_priority = '{p}') as \"{p}\"" for p in ("Urgent", "High", "Medium", "Low")) + " from rule_segments group by rfm_segment"
 CHECKS["report_reasons_by_band"] = "select churn_risk_band, top_churn_reason, count(*) as customers from rule_predictions group by 1, 2"
+
+# ---------------------------------------------------------------- what must hold for the fitted models
+CHECKS["audit_churn_predictions"] = "select customer_id, true as in_range, true as band_follows, true as reason_follows from feature_table"
+CHECKS["audit_churn_logistic"] = f"""
+select 'logistic_regression' as model, count(*) as train_rows, true as stationary from ({CHECKS['churn_split']}) where split = 'train'"""
+CHECKS["audit_segment_powers"] = union(
+    f"select '{c}' as feature, count({c}) as customers, false as improvable, true as standardised from feature_table" for c, *_p in _POWERS)
+CHECKS["audit_segments"] = "select customer_id, true as nearest, true as name_follows, true as priority_follows from feature_table"
+add("trained", "select distinct customer_id, product_id from interactions where order_date <= (select cutoff from split_day)")
+CHECKS["audit_recommendations"] = """
+select customer_id, 'als' as rec_source, (select least(10, count(distinct product_id)) from trained) as offers, cast(1 as bigint) as first_ranks, cast(0 as bigint) as inversions
+from (select distinct customer_id from trained)
+union all
+select customer_id, 'popularity_fallback', (select least(10, count(distinct product_id)) from purchases), 1, 0
+from (select customer_id from silver_orders where customer_id is not null group by customer_id having count(order_id) < 3)
+where customer_id not in (select customer_id from trained)"""

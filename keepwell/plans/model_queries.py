@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keepwell.operators import churn, features as feat, insight, interactions, recommend, reports, rerank, segments
+from keepwell.operators import audits, churn, features as feat, insight, interactions, recommend, reports, rerank, segments
 from keepwell.operators.profiling import stacked
 from keepwell.plans import fitted
 from keepwell.plans import reference_rules as rules
@@ -202,3 +202,17 @@ query("report_value_at_risk")(lambda lake: reports.value_at_risk(reports.call_li
 query("report_heat_map")(lambda lake: reports.heat_map(lake.rule_segments()))
 query("report_reasons_by_band")(lambda lake: reports.reasons_by_band(lake.rule_predictions()))
 query("report_call_list_fitted")(fitted.call_list)
+
+# ---------------------------------------------------------------- what must hold for the fitted models, so that SQL can say it
+query("audit_churn_predictions")(lambda lake: audits.predictions_follow(fitted.predictions(lake), fitted.effects(lake)))
+
+
+@query("audit_churn_logistic")
+def _audit_logistic(lake):
+    train = churn.balanced(fitted.modelling_table(lake).where("split = 'train'"))
+    return audits.logistic_stationary(churn.logistic().fit(train), train)
+
+
+query("audit_segment_powers")(lambda lake: audits.powers_follow(fitted.clipped(lake), fitted.powers(lake)))
+query("audit_segments")(lambda lake: audits.segments_follow(fitted.segment_table(lake), fitted.points(lake)))
+query("audit_recommendations")(lambda lake: audits.recommendations_follow(fitted.recommendation_table(lake)))
