@@ -284,6 +284,17 @@ def test_rows_with_one_id_or_none_are_no_repeats(spark):
     assert suffixes.without_repeats(docs(spark, [(1, text, "s"), (1, text, "s"), (None, text, "s"), (2, text, "s"), (3, None, "s")])).count() == 4
 
 
+def test_equal_texts_get_the_same_passages_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "COPIES", 2)
+    whole, alone = vocabulary(21, 120), " ".join(vocabulary(22, 90))
+    rows = [(i, " ".join(whole), "s") for i in (8, 3, 5, 9, 4)] + [(2, " ".join(vocabulary(23, 30) + whole[20:80]), "s"), (7, alone, "s")]
+    found = {r.id: r.spans for r in suffixes.repeated_passages(docs(spark, rows)).collect()}
+    assert {i: [(s.start, s.end) for s in spans] for i, spans in found.items()} == {2: [(30, 90)], **{i: [(0, 120)] for i in (3, 4, 5, 8, 9)}}
+    assert all(s.others == ([2, 3] if i != 3 else [2, 9]) for i in (3, 4, 5, 8, 9) for s in found[i]) and found[2][0].others == [9]
+    cut = {r.doc_id: r.text for r in suffixes.without_repeats(docs(spark, rows)).collect()}
+    assert cut[7] == alone and 2 in cut and 3 in cut
+
+
 # ---------------------------------------------------------------- 8
 def test_warc_round_trip_and_audit(spark):
     pages = [(i, f"http://x/{i}\r\nbad", f"<p>{'é' * (i % 5)} {i}</p>\r\n\r\n" + ("\r\n\r\nWARC/1.0\r\nfake" if i == 7 else "")) for i in range(300)] + [(300, None, None)]
