@@ -127,7 +127,7 @@ select strftime(order_date, '%Y-%m') as ym, count(*) as orders from silver_order
 _NET = f"({units('order_amount')} - {units('discount_amount')})"
 add("rfm_base", f"""
 select customer_id, last_order_date, total_orders, total_spent, avg_order_value,
-  cast((select max(order_date) from silver_orders) - coalesce(last_order_date, (select min(order_date) from silver_orders)) as integer) as recency_days
+  cast((select max(order_date) from silver_orders) - last_order_date as integer) as recency_days
 from (select customer_id, max(order_date) as last_order_date, count(order_id) as total_orders,
   {half_up(f'sum({_NET})', '10000', 2)} as total_spent, {half_up(f'sum({_NET})', f'10000 * count({_NET})', 2)} as avg_order_value
   from silver_orders where customer_id is not null group by customer_id)""")
@@ -147,7 +147,8 @@ select count(*) filter (total_spent <= 1000000) as under, count(*) filter (total
   {pct('count(*) filter (total_spent <= 1000000)', 'count(total_spent)')} as under_pct from rfm_base"""
 add("clipped", """
 select customer_id, least(cast(total_orders as double), (select quantile_cont(cast(total_orders as double), 0.99) from rfm_base)) as total_orders,
-  least(total_spent, (select quantile_cont(total_spent, 0.99) from rfm_base)) as total_spent, avg_order_value, recency_days
+  least(total_spent, (select quantile_cont(total_spent, 0.99) from rfm_base)) as total_spent, avg_order_value, recency_days,
+  cast(recency_days is null as integer) as recency_unknown, cast(total_spent is null as integer) as spent_unknown
 from rfm_base""")
 add("refund_counts", "select customer_id, count(refund_id) as refund_count from silver_refunds group by customer_id")
 add("cart_add_counts", "select customer_id, count(event_id) as cart_adds from silver_cart_events where action = 'cart_add' group by customer_id")
@@ -164,14 +165,15 @@ select customer_id, payment_method as preferred_payment from (select o.customer_
 add("rating_means", f"select customer_id, {money_mean('rating', 1)} as avg_rating from silver_reviews where customer_id is not null group by customer_id")
 _ABANDON = "case when cart_adds > 0 then greatest(0.0, least(1.0, (cart_adds - {0}) / cast(cart_adds as double))) else 0.0 end"
 add("features_unindexed", f"""
-select c.customer_id, recency_days, total_orders, {half_up('round(total_spent * 10000000000)', '10000000000', 2)} as total_spent,
+select c.customer_id, coalesce(recency_days, (select cast(floor(avg(recency_days)) as integer) from rfm_base), 0) as recency_days,
+  recency_unknown, spent_unknown, total_orders, {half_up('round(total_spent * 10000000000)', '10000000000', 2)} as total_spent,
   coalesce(avg_order_value, 0.0) as avg_order_value, coalesce(refund_count, 0) as refund_count,
   {half_up('coalesce(refund_count, 0) * 10000', units('total_orders'), 2)} as refund_rate,
   {_ABANDON.format('total_orders')} as abandon_rate, coalesce(avg_pages_viewed, 0.0) as avg_pages_viewed,
   coalesce(avg_session_duration, 0.0) as avg_session_duration, coalesce(session_count, 0) as session_count,
   coalesce(pct_organic, 0.0) as pct_organic, coalesce(pct_social, 0.0) as pct_social, coalesce(avg_rating, 3.0) as avg_rating,
   coalesce(preferred_payment, 'UPI') as preferred_payment,
-  cast(case when recency_days > 90 and total_orders >= 2 then 1 else 0 end as integer) as churn_label
+  cast(case when c.recency_days > 90 and total_orders >= 2 then 1 else 0 end as integer) as churn_label
 from clipped c left join refund_counts r on c.customer_id = r.customer_id left join cart_add_counts a on c.customer_id = a.customer_id
 left join session_stats s on c.customer_id = s.customer_id left join payment_modes p on c.customer_id = p.customer_id
 left join rating_means g on c.customer_id = g.customer_id""")

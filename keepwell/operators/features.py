@@ -37,14 +37,12 @@ def as_of_column(orders: DataFrame, as_of=None) -> Column:
 
 
 def rfm_base(orders: DataFrame, as_of=None) -> DataFrame:
-    """Recency counts from `as_of` (default: last order date); a customer none of whose dates could
-    be read counts as having ordered at the very start."""
+    """Recency counts from `as_of` (default: last order date); it is null for a customer none of whose dates
+    could be read."""
     per_customer = known_orders(orders).groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"), F.count("order_id").alias("total_orders"),
         exact.total("total_amount").alias("total_spent"), exact.mean("total_amount").alias("avg_order_value"))
-    start = orders.agg(F.min("order_date")).scalar()
-    return per_customer.withColumn("recency_days", F.datediff(
-        as_of_column(orders, as_of), F.coalesce(F.col("last_order_date"), start)))
+    return per_customer.withColumn("recency_days", F.datediff(as_of_column(orders, as_of), F.col("last_order_date")))
 
 
 def winsorised(df: DataFrame, columns: list[str], p: float = CLIP) -> DataFrame:
@@ -92,6 +90,7 @@ def rating_features(reviews: DataFrame) -> DataFrame:
 
 
 def churn_label(recency: Column, orders: Column) -> Column:
+    """1 for a lapsed repeat customer; 0 where the recency is unknown."""
     return F.when((recency > CHURN_DAYS) & (orders >= CHURN_MIN_ORDERS), 1).otherwise(0)
 
 
@@ -109,8 +108,14 @@ def by_frequency(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def feature_table(orders: DataFrame, payments: DataFrame, refunds: DataFrame, cart_events: DataFrame,
                   sessions: DataFrame, reviews: DataFrame, as_of=None) -> DataFrame:
-    """One row per ordering customer: id, 14 features, label; no nulls."""
-    base = winsorised(stored(rfm_base(orders, as_of), "rfm_base"), ["total_orders", "total_spent"])
+    """One row per ordering customer: id, 14 features, label; no nulls.
+
+    An unknown recency takes part in the label as unknown and is then filled with the whole days of the mean recency; an
+    unknown spend takes the cap. `recency_unknown` and `spent_unknown` flag both."""
+    known = stored(rfm_base(orders, as_of), "rfm_base")
+    flags = {"recency_unknown": F.col("recency_days").isNull().cast("int"), "spent_unknown": F.col("total_spent").isNull().cast("int")}
+    base = winsorised(known.withColumns(flags), ["total_orders", "total_spent"])
+    usual = F.coalesce(known.agg(F.floor(F.avg("recency_days")).cast("int")).scalar(), F.lit(0))
     joined = base
     for side in (refund_features(refunds), cart_adds(cart_events), session_features(sessions),
                  preferred_payment(orders, payments), rating_features(reviews)):
@@ -121,11 +126,11 @@ def feature_table(orders: DataFrame, payments: DataFrame, refunds: DataFrame, ca
     derived = filled.withColumns({
         "refund_rate": exact.ratio(F.col("refund_count"), F.col("total_orders")),
         "abandon_rate": abandonment(F.col("cart_adds"), F.col("total_orders")),
-        LABEL: churn_label(F.col("recency_days"), F.col("total_orders"))})
+        LABEL: churn_label(F.col("recency_days"), F.col("total_orders"))}).withColumn("recency_days", F.coalesce("recency_days", usual))
     indexed = by_frequency(derived, "preferred_payment", "payment_idx")
     columns = [F.round(c, 2 if c != "avg_rating" else 1).cast(DECIMALS[c]).alias(c) if c in DECIMALS else F.col(c)
                for c in FEATURES]
-    return indexed.select("customer_id", *columns, LABEL)
+    return indexed.select("customer_id", *columns, *flags, LABEL)
 
 
 def as_doubles(features: DataFrame) -> DataFrame:

@@ -111,11 +111,11 @@ def _coverage(lake):
 
 
 query("profile_monthly_orders")(lambda lake: prof.monthly_orders(lake.table("orders")))
-query("profile_rfm_summary")(lambda lake: prof.summary(feat.rfm_base(lake.table("orders")), RFM))
+query("profile_rfm_summary")(lambda lake: prof.summary(lake.rfm(), RFM))
 query("profile_spend_percentiles")(lambda lake: prof.percentiles(lake.rfm(), "total_spent"))
-query("profile_skewness")(lambda lake: prof.sample_skewness(feat.rfm_base(lake.table("orders")), RFM))
-query("profile_correlation")(lambda lake: prof.correlations(feat.rfm_base(lake.table("orders")), RFM))
-query("profile_spend_share")(lambda lake: prof.share_under(feat.rfm_base(lake.table("orders")), "total_spent", 1_000_000.0))
+query("profile_skewness")(lambda lake: prof.sample_skewness(lake.rfm(), RFM))
+query("profile_correlation")(lambda lake: prof.correlations(lake.rfm(), RFM))
+query("profile_spend_share")(lambda lake: prof.share_under(lake.rfm(), "total_spent", 1_000_000.0))
 query("profile_class_balance")(lambda lake: prof.class_balance(lake.features(), feat.LABEL))
 query("profile_recency_by_label")(lambda lake: prof.bins(lake.features(), "recency_days", 50, [feat.LABEL]))
 query("profile_histograms")(lambda lake: prof.stacked([
@@ -165,7 +165,7 @@ query("feature_ratings")(lambda lake: feat.rating_features(lake.table("reviews")
 
 @query("feature_refunds_and_carts")
 def _refunds_and_carts(lake):
-    base = feat.rfm_base(lake.table("orders")).select("customer_id", "total_orders")
+    base = lake.rfm().select("customer_id", "total_orders")
     joined = (base.join(feat.refund_features(lake.table("refunds")), "customer_id", "left")
               .join(feat.cart_adds(lake.table("cart_events")), "customer_id", "left").fillna(0, subset=["refund_count"]))
     return joined.withColumns({"refund_rate": feat.exact.ratio(F.col("refund_count"), F.col("total_orders")),

@@ -150,3 +150,23 @@ def test_linear_effects_add_up(lake):
     table = feat.as_doubles(lake.features())
     total = churn.linear_effects(table, rules.EFFECTS).groupBy("feature").agg(F.sum("delta").alias("s")).agg(F.max(F.abs("s"))).first()[0]
     assert total < 1e-6
+
+
+def test_a_customer_without_a_readable_date_is_flagged_not_aged(spark):
+    from datetime import date
+    orders = spark.createDataFrame(
+        [("o1", "a", date(2024, 1, 1), 10.0, 0.0), ("o2", "a", date(2024, 1, 2), 10.0, 0.0), ("o3", "b", date(2024, 7, 1), 30.0, 0.0),
+         ("o4", "c", None, 20.0, 0.0), ("o5", "c", None, None, 0.0), ("o6", "d", date(2024, 6, 30), None, 0.0)],
+        "order_id string, customer_id string, order_date date, order_amount double, discount_amount double")
+
+    def none(schema):
+        return spark.createDataFrame([], schema)
+    got = {r.customer_id: r for r in feat.feature_table(
+        orders, none("order_id string, payment_method string"), none("customer_id string, refund_id string"),
+        none("customer_id string, action string, event_id string"),
+        none("customer_id string, session_id string, channel string, pages_viewed int, session_duration_seconds int"),
+        none("customer_id string, rating int")).collect()}
+    assert (got["a"].recency_days, got["b"].recency_days, got["d"].recency_days) == (181, 0, 1)
+    assert got["c"].recency_days == (181 + 0 + 1) // 3
+    assert {c: (r.recency_unknown, r.spent_unknown, r.churn_label) for c, r in got.items()} == {
+        "a": (0, 0, 1), "b": (0, 0, 0), "c": (1, 0, 0), "d": (0, 1, 0)}
