@@ -133,59 +133,97 @@ def _extended(least: int):
     return run
 
 
+def _left(start: np.ndarray, own: np.ndarray, words: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(covered, cut, whole): words in a repeated run, those of them in no run that is kept here, and the runs that lose no word."""
+    depth = np.zeros((2, words + 1), np.int32)
+    for k, some in enumerate((start, start[own])):
+        np.add.at(depth[k], some, 1)
+        np.add.at(depth[k], some + least, -1)
+    covered, kept = np.cumsum(depth, axis=1)[:, :words] > 0
+    cut = covered & ~kept
+    lost = np.concatenate([[0], np.cumsum(cut)])
+    return covered, cut, lost[start + least] == lost[start]
+
+
+def _standing(least: int):
+    """(id, starts, keys, keepers) -> (key, id): runs that stay whole in a document that is not their keeper, as runs that it
+    keeps cover them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, lists = batch.column(0).to_pylist(), [batch.column(i) for i in (1, 2, 3)]
+            for i, own_id in enumerate(ids):
+                start, key, keeper = (c[i].values.to_numpy() for c in lists)
+                own = keeper == own_id
+                if own.any() and not own.all():
+                    _, _, whole = _left(start, own, int(start.max()) + least, least)
+                    keys = np.unique(key[whole & ~own])
+                    if len(keys):
+                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), own_id, np.int64))], names=["key", "id"])
+    return run
+
+
+def _merged(covered: np.ndarray) -> list[tuple[int, int]]:
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(id, words, first and last word, bytes, arrays) of each row of (id, text, arrays ...)."""
+    ids, lists = batch.column(0).to_pylist(), [batch.column(i) for i in range(2, batch.num_columns)]
+    for row, data, offsets in text_slices(batch.column(1)):
+        words = Words(data, offsets, SPACED)
+        for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True), row):
+            yield ids[i], words, a, b, data[offsets[i - row]:offsets[i - row + 1]], offsets[i - row], [c[i].values.to_numpy() for c in lists]
+
+
 def _spans(least: int):
-    """(id, text, starts, low, high) -> a row per text with its maximal passages and the text without those it only repeats."""
-    def merged(covered: np.ndarray) -> list[tuple[int, int]]:
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-        return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+    """(id, text, starts, low, high) -> a row per text with its maximal passages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own_id, words, a, b, _, text_start, (start, low, high) in _rows(batch):
+                own = low == own_id
+                covered, _, _ = _left(start, own, b - a, least)
+                spans = []
+                for x, y in _merged(covered):
+                    inside = (start >= x) & (start < y)
+                    other = np.where(own[inside], high[inside], low[inside])
+                    spans.append({"start": x, "end": y, "byte_start": int(words.start[a + x] - text_start), "byte_end": int(words.end[a + y - 1] - text_start),
+                                  "others": np.unique(other).tolist(), "first": bool(own[inside].all())})
+                out.append(spans)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, SPAN_LIST)], names=["id", "text", "spans"])
+    return run
 
+
+def _cuts(least: int):
+    """(id, text, starts, keepers, holders) -> (id, text, cut): the text without the passages that other documents keep. Of a
+    run that stands whole in several documents all but its holder lose every word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, cut = batch.column(0).to_pylist(), [], []
-            lists = [batch.column(i) for i in (2, 3, 4)]
-            for row, data, offsets in text_slices(batch.column(1)):
-                words = Words(data, offsets, SPACED)
-                for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:], strict=True), row):
-                    start, low, high = (c[i].values.to_numpy() for c in lists)
-                    own = low == ids[i]
-                    depth = np.zeros((2, b - a + 1), np.int32)
-                    for k, some in enumerate((start, start[own])):
-                        np.add.at(depth[k], some, 1)
-                        np.add.at(depth[k], some + least, -1)
-                    covered, kept = np.cumsum(depth, axis=1)[:, :b - a] > 0
-                    text_start = offsets[i - row]
-                    spans = []
-                    for x, y in merged(covered):
-                        inside = (start >= x) & (start < y)
-                        other = np.where(own[inside], high[inside], low[inside])
-                        spans.append({"start": x, "end": y, "byte_start": int(words.start[a + x] - text_start), "byte_end": int(words.end[a + y - 1] - text_start),
-                                      "others": np.unique(other).tolist(), "first": bool(own[inside].all())})
-                    out.append(spans)
-                    raw, parts, at = data[text_start:offsets[i - row + 1]].tobytes(), [], 0
-                    for x, y in merged(covered & ~kept):
-                        begin, stop = int(words.start[a + x] - text_start), int(words.end[a + y - 1] - text_start)
-                        parts.append(raw[at:begin].rstrip(b" \t"))
-                        at = stop
-                    parts.append(raw[at:] if not parts else raw[at:].lstrip(b" \t"))
-                    cut.append(b" ".join(p for p in parts if p).strip() if len(parts) > 1 else raw)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, SPAN_LIST), pa.array([c.decode() for c in cut], pa.string())],
-                                             names=["id", "text", "spans", "cut"])
+            out = []
+            for own_id, words, a, b, data, text_start, (start, keeper, holder) in _rows(batch):
+                _, cut, whole = _left(start, keeper == own_id, b - a, least)
+                for x in start[whole & (holder != own_id)]:
+                    cut[x:x + least] = True
+                raw, parts, at = data.tobytes(), [], 0
+                for x, y in _merged(cut):
+                    begin, stop = int(words.start[a + x] - text_start), int(words.end[a + y - 1] - text_start)
+                    parts.append(raw[at:begin].rstrip(b" \t"))
+                    at = stop
+                parts.append(raw[at:] if not parts else raw[at:].lstrip(b" \t"))
+                out.append(b" ".join(p for p in parts if p).strip() if len(parts) > 1 else raw)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.decode() for c in out], pa.string())], names=["id", "text", "cut"])
     return run
 
 
 SPAN_LIST = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("byte_start", pa.int64()), ("byte_end", pa.int64()),
                                 ("others", pa.list_(pa.int64())), ("first", pa.bool_())]))
-SPAN_SCHEMA = ("id long, text string, spans array<struct<start: int, end: int, byte_start: long, byte_end: long, others: array<long>, first: boolean>>, "
-               "cut string")
+SPAN_SCHEMA = "id long, text string, spans array<struct<start: int, end: int, byte_start: long, byte_end: long, others: array<long>, first: boolean>>"
 
 
-def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, spans, cut) for each distinct text that shares a passage of `least` or more words with another document.
-
-    A span has word and byte offsets, the documents it was matched with (per word run the lowest document that has it, or for
-    that one the highest), and whether this document is the lowest for all of it. `cut` is the text without the words that
-    lower documents hold, other than those of passages for which this document is the lowest."""
-    assert least > SPREAD + GRAM, "passages must be longer than a minimiser's reach"
+def _shared(docs: DataFrame, least: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(held, versions, shared): texts with a match, their groups of equal ones, and (key, row, low, starts, lowest, highest) of
+    each run of `least` words that several documents hold, for one text of each group."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     kept = texts.mapInArrow(_suffixes(least), "key long, id long, places array<int>")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -203,22 +241,62 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id
     starts = shown.select("row", "low", "high", "text", "places").mapInArrow(_extended(least), "key long, row long, low long, high long, starts array<int>")
     starts = stored(starts, "suffix-starts")
     repeated = (starts.groupBy("key").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).where("lowest < highest"))
-    found = (starts.select("key", "row", "starts").join(repeated, "key").groupBy("row")
-             .agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                  *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(n) for c, n in (("lowest", "lows"), ("highest", "highs"))]))
-    # what was found for a text goes to its copies in groups of COPIES, so no task serves all copies of one text
+    return held, versions, starts.select("key", "row", "low", "starts").join(repeated, "key")
+
+
+def _listed(shared: DataFrame, *columns: str) -> DataFrame:
+    """A row per text: its starts, and arrays that hold the columns of each start."""
+    return shared.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
+                                     *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(f"{c}s") for c in columns])
+
+
+def _with_copies(held: DataFrame, versions: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, text, columns of `found`): what was found for a text goes to its copies in groups of COPIES, so no task serves all
+    copies of one text."""
+    columns = [c for c in found.columns if c != "row"]
     dealt = (found.join(versions.select(F.col("first_row").alias("row"), "digest", "groups"), "row").drop("row")
              .withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups"))
     members = (held.select("row", "digest").join(versions.select("digest", "groups"), "digest")
                .select("row", "digest", F.pmod(F.xxhash64("row"), "groups").cast("int").alias("group")))
-    found = members.join(dealt, ["digest", "group"]).select("row", "starts", "lows", "highs")
-    return (held.join(found, "row").select("id", "text", "starts", "lows", "highs").mapInArrow(_spans(least), SPAN_SCHEMA))
+    found = members.join(dealt, ["digest", "group"]).select("row", *columns)
+    return held.join(found, "row").select("id", "text", *columns)
+
+
+def repeated_passages(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, spans) for each distinct text that shares a passage of `least` or more words with another document.
+
+    A span has word and byte offsets, the documents it was matched with (per word run the lowest document that has it, or for
+    that one the highest), and whether this document is the lowest for all of it."""
+    held, versions, shared = _shared(docs, least, id_col, text_col)
+    return _with_copies(held, versions, _listed(shared, "lowest", "highest")).mapInArrow(_spans(least), SPAN_SCHEMA)
+
+
+def _rehomed(shared: DataFrame, least: int, keeper: str, name: str) -> DataFrame:
+    """(key, name): for runs that stand whole in documents other than their keeper, the lowest of those."""
+    own = shared.groupBy("row").agg(F.first("low").alias("id"), F.flatten(F.collect_list("starts")).alias("starts"),
+                                    *[F.flatten(F.collect_list(F.array_repeat(c, F.size("starts")))).alias(f"{c}s") for c in ("key", keeper)])
+    found = own.select("id", "starts", "keys", f"{keeper}s").mapInArrow(_standing(least), "key long, id long")
+    return stored(found.groupBy("key").agg(F.min("id").alias(name)), f"suffix-{name}")
+
+
+def passage_cuts(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, cut) for the texts of `repeated_passages`: `cut` is the text without the passages that other documents keep.
+
+    A run of `least` words is kept by the lowest document that has it, unless it stands whole in another document anyway, inside
+    the runs which that one keeps: then by the lowest such document. What still stands in several documents is cut from all but
+    the lowest of them, every word, though runs that reach into it go too. So after the cut no repeated run is in two documents,
+    and each of its words is left in one. Words that a cut brings together count as no passage."""
+    held, versions, shared = _shared(docs, least, id_col, text_col)
+    shared = stored(shared.drop("highest"), "suffix-shared")
+    shared = shared.join(_rehomed(shared, least, "lowest", "moved"), "key", "left").withColumn("keeper", F.coalesce("moved", "lowest"))
+    shared = shared.join(_rehomed(shared, least, "keeper", "contested"), "key", "left").withColumn("holder", F.least("contested", "keeper"))
+    return _with_copies(held, versions, _listed(shared, "keeper", "holder")).mapInArrow(_cuts(least), "id long, text string, cut string")
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with each repeated passage left in the lowest document that has it. A document of which nothing is left goes;
-    all others stay, and those without repeats stay unchanged."""
-    found = stored(repeated_passages(docs, least, id_col, text_col).where("cut != text").select("id", "text", "cut"), "suffix-cuts")
+    """`docs` with each repeated passage left in one document, the lowest that has it or one that keeps it within a longer passage
+    (`passage_cuts`). A document of which nothing is left goes; all others stay, and those without repeats stay unchanged."""
+    found = stored(passage_cuts(docs, least, id_col, text_col).where("cut != text").select("id", "text", "cut"), "suffix-cuts")
     changed = found.select(F.col("id").alias("_id"), F.xxhash64("text").alias("_version"), F.col("cut").alias("_cut"))
     met = docs.withColumn("_own", F.xxhash64(text_col)).join(
         changed, (F.col(id_col) == F.col("_id")) & (F.col("_own") == F.col("_version")), "left")

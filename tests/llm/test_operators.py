@@ -295,6 +295,30 @@ def test_equal_texts_get_the_same_passages_in_groups(spark, monkeypatch):
     assert cut[7] == alone and 2 in cut and 3 in cut
 
 
+def test_no_passage_is_left_in_two_documents(spark, corpus):
+    def holders(texts):
+        out = {}
+        for i, t in texts.items():
+            w = spaced(t)
+            for s in range(len(w) - 49):
+                out.setdefault(tuple(w[s:s + 50]), set()).add(i)
+        return out
+
+    def cut(rows):
+        return {r.doc_id: r.text for r in suffixes.without_repeats(docs(spark, rows)).collect()}
+    p, x, y, q, r = (vocabulary(s, n) for s, n in ((31, 60), (32, 60), (33, 60), (34, 60), (35, 60)))
+    # a shared passage within a longer one that two others share; then with contexts on both sides in every document
+    inner = [(1, " ".join(p), "s"), (2, " ".join(x + p + y), "s"), (3, " ".join(x + p + y), "s")]
+    crossed = [*((i, " ".join(q + p + r), "s") for i in (1, 2)), *((i, " ".join(x + p + y), "s") for i in (3, 4))]
+    for rows in (inner, crossed, corpus):
+        texts = {i: t for i, t, _ in rows}
+        left = cut(rows)
+        assert all(len(ids) == 1 for ids in holders(left).values())
+        words = {w for t in left.values() for w in spaced(t)}
+        assert words == {w for t in texts.values() for w in spaced(t)}  # no word is lost
+    assert {i: len(spaced(t)) for i, t in cut(crossed).items()} == {1: 180, 3: 120}
+
+
 # ---------------------------------------------------------------- 8
 def test_warc_round_trip_and_audit(spark):
     pages = [(i, f"http://x/{i}\r\nbad", f"<p>{'é' * (i % 5)} {i}</p>\r\n\r\n" + ("\r\n\r\nWARC/1.0\r\nfake" if i == 7 else "")) for i in range(300)] + [(300, None, None)]
