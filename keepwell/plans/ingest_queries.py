@@ -68,7 +68,7 @@ for _name in DUAL:
 @query("ingest_topic_counts")
 def _topics(lake):
     """Bounded batch reads of every topic."""
-    return ingest.topic_counts({n: ingest.decode(ingest.json_lines(lake.spark, _landed(lake, n)[2], streaming=False), n) for n in DUAL})
+    return ingest.topic_counts({n: ingest.json_lines(lake.spark, _landed(lake, n)[2], streaming=False) for n in DUAL})
 
 
 @query("ingest_inferred_types")
@@ -110,15 +110,18 @@ for _name in (*FILES_ONLY, *DUAL):
 
 @query("ingest_corrupt_messages")
 def _corrupt(lake):
-    """Messages of every topic, one in sixteen cut short: how many are rows and how many are kept aside."""
+    """Messages of every topic, one in sixteen cut short: how many of them the stream landed as rows and how many aside."""
     parts = []
     for topic, schema in TOPICS.items():
         first = schema.fieldNames()[0]
         sent = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "false"})
         cut = F.coalesce(F.substring(F.md5(F.col(first)), 1, 1) == "0", F.lit(False))
-        value = F.when(cut, F.substr(sent, F.lit(1), F.length(sent) - 1)).otherwise(sent).cast("binary")
-        messages = lake.raw(topic).where("_source = 'live_events'").select(value.alias("value"))
-        for kind, rows in (("rows", ingest.decode(messages, topic)), ("corrupt", ingest.corrupt(messages, topic))):
+        value = F.when(cut, F.substr(sent, F.lit(1), F.length(sent) - 1)).otherwise(sent)
+        base = scratch_path(lake.spark, f"land_corrupt_{topic}")
+        lake.raw(topic).where("_source = 'live_events'").select(value.alias("value")).write.text(f"{base}/live")
+        arriving = ingest.received(ingest.json_lines(lake.spark, f"{base}/live"), topic)
+        table = ingest.ingest(arriving, f"{base}/table", f"{base}/checkpoint")
+        for kind, rows in (("rows", table), ("corrupt", ingest.set_aside(lake.spark, f"{base}/table", topic))):
             parts.append(rows.agg(F.count(F.lit(1)).alias("messages")).select(F.lit(topic).alias("topic"), F.lit(kind).alias("kind"), "messages"))
     return files.stacked(parts)
 

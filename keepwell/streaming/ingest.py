@@ -55,7 +55,7 @@ def json_lines(spark: SparkSession, folder: str, streaming: bool = True) -> Data
     return reader.text(folder).select(F.col("value").cast("binary").alias("value"))
 
 
-CORRUPT = "_corrupt_record"
+CORRUPT, ASIDE = "_corrupt_record", "is_corrupt"
 
 
 def _opened(messages: DataFrame, topic: str) -> DataFrame:
@@ -79,23 +79,41 @@ def corrupt(messages: DataFrame, topic: str) -> DataFrame:
     return lineage(broken, LIVE_SOURCE, "topic")
 
 
+def received(messages: DataFrame, topic: str) -> DataFrame:
+    """Every message of a topic: the rows of `decode`, and those of `corrupt` marked ASIDE, with their text only."""
+    opened = _opened(messages, topic)
+    fields = [F.when(~F.col("broken"), F.col("data")[c]).alias(c) for c in TOPICS[topic].fieldNames()]
+    return lineage(opened.select(*fields, F.when(F.col("broken"), F.col("value")).alias(CORRUPT), F.col("broken").alias(ASIDE)), LIVE_SOURCE, "topic")
+
+
 def dual_source(spark: SparkSession, table: str, history_folder: str, messages: DataFrame) -> DataFrame:
-    """History files and live messages of one table; columns only one side has are null on the other."""
-    history = file_stream(spark, history_folder, HISTORY[table], HISTORY_SOURCE)
-    return history.unionByName(decode(messages, table), allowMissingColumns=True)
+    """History files and live messages of one table; columns only one side has are null on the other. Messages that can't be read
+    are marked ASIDE."""
+    history = file_stream(spark, history_folder, HISTORY[table], HISTORY_SOURCE).withColumn(ASIDE, F.lit(False))
+    return history.unionByName(received(messages, table), allowMissingColumns=True)
 
 
 def append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
-        .outputMode("append").trigger(availableNow=True).start()
+    """Rows marked ASIDE go to a partition of their own by the same commit, so none is lost when the checkpoint moves on."""
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.partitionBy(ASIDE) if ASIDE in df.columns else writer).outputMode("append").trigger(availableNow=True).start()
 
 
 def ingest(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Append everything that is new and read the table."""
+    """Append everything that is new and read the table, without rows marked ASIDE: `set_aside` reads those."""
     append(df, path, checkpoint).awaitTermination()
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table.where(~F.col(ASIDE)).select([c for c in df.columns if c not in (ASIDE, CORRUPT)]) if ASIDE in df.columns else table
+
+
+def set_aside(spark: SparkSession, path: str, topic: str) -> DataFrame:
+    """Side table of an ingested topic: the messages that could not be read, as they came, with their lineage."""
+    kinds = f"{CORRUPT} string, _ingested_at timestamp, _source_file string, _source string, {ASIDE} boolean"
+    return spark.read.schema(kinds).parquet(path).where(ASIDE).drop(ASIDE).select(F.lit(topic).alias("topic"), "*")
 
 
 def topic_counts(topics: dict[str, DataFrame]) -> DataFrame:
+    """Rows per topic of binary messages; a topic with messages that can't be read has their count on a line of its own."""
     from keepwell.sources.files import row_counts
-    return row_counts(topics)
+    rows = row_counts({n: decode(m, n) for n, m in topics.items()})
+    return rows.unionByName(row_counts({f"{n}_corrupt": corrupt(m, n) for n, m in topics.items()}).where("rows > 0")).orderBy("table_name")

@@ -8,7 +8,7 @@ from keepwell.plans import ingest_queries  # noqa: F401
 from keepwell.plans.registry import QUERIES
 from keepwell.session import scratch_path, shared_folder
 from keepwell.sources import files, jdbc
-from keepwell.sources.schemas import TOPICS
+from keepwell.sources.schemas import HISTORY, TOPICS
 from keepwell.streaming import ingest
 
 SMALL = "/root/testdata/sf0.001"
@@ -121,3 +121,20 @@ def test_corrupt_messages_are_kept_aside(spark):
     sent = spark.createDataFrame([(b'{"payment_id": "1"}',), (b'{"payment_id": ',), (b"",), (None,)], "value binary")
     assert [r.payment_id for r in ingest.decode(sent, "payments").collect()] == ["1"]
     assert ingest.corrupt(sent, "payments").count() == 3
+
+
+def test_corrupt_messages_land_beside_the_table(spark):
+    base, columns = scratch_path(spark, "aside"), HISTORY["payments"].fieldNames()
+    spark.createDataFrame([tuple(["h1", *[None] * (len(columns) - 1)])], ", ".join(f"{c} string" for c in columns)).write.csv(f"{base}/history", header=True)
+    broken = ['{"payment_id": ', '{"payment_id": "2", "order_id": "9"', "no json"]
+    spark.createDataFrame([(v,) for v in ['{"payment_id": "1"}', *broken]], "value string").write.text(f"{base}/live")
+    both = ingest.dual_source(spark, "payments", f"{base}/history", ingest.json_lines(spark, f"{base}/live"))
+    for _ in range(2):  # a restart adds nothing
+        table = ingest.ingest(both, f"{base}/table", f"{base}/checkpoint")
+        aside = ingest.set_aside(spark, f"{base}/table", "payments").collect()
+        assert {(r.payment_id, r._source) for r in table.collect()} == {("h1", "history_files"), ("1", "live_events")}
+        assert not {"is_corrupt", "_corrupt_record"} & set(table.columns)
+        assert sorted(r._corrupt_record for r in aside) == sorted(broken)
+        assert all(r.topic == "payments" and r._ingested_at is not None and r._source == "live_events" for r in aside)
+    counts = ingest.topic_counts({"payments": ingest.json_lines(spark, f"{base}/live", streaming=False)})
+    assert {(r.table_name, r.rows) for r in counts.collect()} == {("payments", 1), ("payments_corrupt", 3)}
