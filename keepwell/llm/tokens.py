@@ -3,13 +3,15 @@
 The vocabulary drops white space before it merges, so no token crosses ASCII white space, and the count of a text is the
 sum over its white-space-separated pieces. The operator keeps the running sum: entry i of `counts` is the exact count of the
 prefix that ends with piece i, at code point `ends[i]`. Questions about budgets and truncation are searches in these arrays.
-A prefix that ends inside a piece adds that piece's own prefix counts, which `piece_prefixes` lists for each distinct piece.
+A prefix that ends inside a piece adds that piece's own prefix counts, which `piece_prefixes` lists for each distinct piece;
+`fits` and `within` include them.
 
 Nulls are empty texts: no tokens, no prefixes. Repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +22,20 @@ from pyspark.sql import functions as F
 VOCABULARY = "word_bpe_49k.json"
 KEPT_PIECES, LONGEST_KEPT = 400_000, 64  #: a worker's store of piece counts; beyond it pieces are counted anew
 
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿА-яぁ-ゖァ-ヺ一-鿋가-힣", r"!-&(-/:-@\[-`{-~、。，！？：；「」（）《》"
+#: Places where the tokenizer begins a new word whatever follows: between letters, digits and marks that normalisation leaves in
+#: their class (no apostrophe, which may begin a contraction). Elsewhere a unit just goes on.
+BORDER = re.compile(f"(?<=[0-9])(?=[0-9{LETTERS}{MARKS}])|(?<=[{LETTERS}{MARKS}])(?=[0-9])|(?<=[{LETTERS}])(?=[{MARKS}])|(?<=[{MARKS}])(?=[{LETTERS}])")
+PLAIN = re.compile(f"[{LETTERS}]+")
+BLOCK = 256
+
+
+def _byte_letters() -> list[str]:
+    """The character by which byte-level vocabularies write each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
 
 class Counter:
     """Counts of pieces, remembered per worker process."""
@@ -33,6 +49,8 @@ class Counter:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.known: dict[bytes, int] = {}
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
+        self.vocabulary: dict[str, int] | None = None
 
     def counts(self, pieces: list[bytes]) -> np.ndarray:
         known = self.known
@@ -50,6 +68,44 @@ class Counter:
             known.update((p, c) for p, c in fresh.items() if len(p) <= LONGEST_KEPT)
         return np.array(out, np.int64)
 
+    def least(self, letters: str) -> np.ndarray:
+        """For each prefix of a run of letters, the fewest tokens of the vocabulary that spell it: no count is below."""
+        if self.vocabulary is None:
+            self.vocabulary = self.library.get_vocab()
+            self.longest = max(map(len, self.vocabulary))
+            self.shown = _byte_letters()
+        known, spelt, ends = self.vocabulary, [], []
+        for c in letters:
+            spelt += [self.shown[b] for b in c.lower().encode()]
+            ends.append(len(spelt))
+        text, inner, last, out = "".join(spelt), [0], set(ends), []
+        for b in range(1, len(text) + 1):
+            spans = range(max(0, b - self.longest), b)
+            inner.append(min((inner[a] + 1 for a in spans if text[a:b] in known), default=b))
+            if b in last:
+                out.append(min((inner[a] + 1 for a in spans if f"{text[a:b]}</w>" in known), default=1))
+        return np.array(out, np.int64)
+
+    def longest_within(self, piece: str, limit: int) -> int:
+        """Code points of the longest prefix of a piece that has at most `limit` tokens."""
+        closed = [m.span() for m in self.special.finditer(piece)]
+        edges = [0, *(m.start() for m in BORDER.finditer(piece) if not any(a <= m.start() <= b for a, b in closed)), len(piece)]
+        units = [piece[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        running = np.concatenate([[0], np.cumsum(self.counts([u.encode() for u in units]))])
+        at = int(np.searchsorted(running, limit, "right")) - 1  # units 0 to at - 1 fit as a whole
+        if at == len(units):
+            return len(piece)
+        unit, left = units[at], limit - int(running[at])
+        lengths = np.arange(1, len(unit))
+        if len(unit) > BLOCK and PLAIN.fullmatch(unit):
+            lengths = lengths[self.least(unit)[:-1] <= left]
+        for stop in range(len(lengths), 0, -BLOCK):  # counts don't grow evenly, so from the longest down
+            some = lengths[max(0, stop - BLOCK):stop]
+            fit = some[self.counts([unit[:n].encode() for n in some]) <= left]
+            if len(fit):
+                return edges[at] + int(fit[-1])
+        return edges[at]
+
 
 def _prefixes(text: str, counter: Counter, block: int = 200_000) -> tuple[list[bytes], np.ndarray]:
     pieces = text.encode().split()
@@ -67,11 +123,11 @@ def _ends(text: str, pieces: list[bytes]) -> np.ndarray:
     return out
 
 
-def _counted(vocabulary: str, limits: tuple[int, ...], keep: bool):
+def _counted(vocabulary: str, limits: tuple[int, ...], keep: bool, offsets: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocabulary)
         for batch in batches:
-            n_bytes, n_tokens, fits, ends, counts = [], [], [], [], []
+            n_bytes, n_tokens, fits, within, ends, counts = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 pieces, running = _prefixes(text, counter)
@@ -79,36 +135,55 @@ def _counted(vocabulary: str, limits: tuple[int, ...], keep: bool):
                 n_bytes.append(len(text.encode()))
                 n_tokens.append(total)
                 cut = [int(np.searchsorted(running, limit, "right")) for limit in limits]
-                where = _ends(text, pieces[:max(cut, default=0)] if not keep else pieces)
-                fits.append([len(text) if c == len(running) else int(where[c - 1]) if c else 0 for c in cut])
+                where = _ends(text, pieces[:max(cut, default=0) + 1] if not keep and not offsets else pieces)
+                fit = []
+                for c, limit in zip(cut, limits, strict=True):
+                    if c == len(running):
+                        fit.append(len(text))
+                        continue
+                    piece = pieces[c].decode()  # the first that doesn't fit as a whole; white space before it is free
+                    fit.append(int(where[c]) - len(piece) + counter.longest_within(piece, limit - (int(running[c - 1]) if c else 0)))
+                fits.append(fit)
+                inside = []
+                for chars in offsets:
+                    c = int(np.searchsorted(where, chars, "right"))
+                    begin = int(where[c]) - len(pieces[c].decode()) if c < len(pieces) else chars
+                    part = counter.counts([pieces[c].decode()[:chars - begin].encode()])[0] if begin < chars else 0
+                    inside.append((int(running[c - 1]) if c else 0) + int(part))
+                within.append(inside)
                 if keep:
                     ends.append(where)
                     counts.append(running)
             arrays = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(fits, pa.list_(pa.int64()))]
-            if keep:
-                arrays += [pa.array(x, pa.list_(pa.int64())) for x in (ends, counts)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "n_tokens", "fits", "ends", "counts"][:len(arrays)])
+            names = ["id", "n_bytes", "n_tokens", "fits"]
+            for name, x in [("ends", ends), ("counts", counts)] * keep + [("within", within)] * bool(offsets):
+                arrays.append(pa.array(x, pa.list_(pa.int64())))
+                names.append(name)
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run
 
 
 def token_prefixes(docs: DataFrame, vocabulary: str = VOCABULARY, limits: tuple[int, ...] = (), keep: bool = True,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens, fits[, ends, counts]) per row of `docs`. `fits[i]` is the number of code points of the longest
-    prefix of whole pieces within limits[i] tokens; `keep` also returns the prefix arrays themselves."""
-    kinds = "id long, n_bytes long, n_tokens long, fits array<long>" + ", ends array<long>, counts array<long>" * keep
+                   id_col: str = "doc_id", text_col: str = "text", offsets: tuple[int, ...] = ()) -> DataFrame:
+    """(id, n_bytes, n_tokens, fits[, ends, counts][, within]) per row of `docs`. `fits[i]` is the number of code points of the
+    longest prefix, of any end, within limits[i] tokens; `keep` also returns the prefix arrays themselves. `within[i]` is the exact
+    count of the first offsets[i] code points, also inside a piece."""
+    kinds = "id long, n_bytes long, n_tokens long, fits array<long>" + ", ends array<long>, counts array<long>" * keep + ", within array<long>" * bool(offsets)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _counted(vocabulary, tuple(limits), keep), kinds)
+        _counted(vocabulary, tuple(limits), keep, tuple(offsets)), kinds)
 
 
 def count_within(chars: Column | int) -> Column:
-    """Exact count of the longest stored prefix of at most `chars` code points, from the kept arrays."""
+    """Exact count of the longest stored prefix of at most `chars` code points, from the kept arrays, which end at pieces; for
+    ends inside a piece use `offsets` of `token_prefixes`."""
     chars = F.lit(chars) if isinstance(chars, int) else chars
     inside = F.size(F.filter("ends", lambda e: e <= chars))
     return F.when(inside > 0, F.element_at("counts", inside)).otherwise(F.lit(0))
 
 
 def budget_end(tokens: Column | int) -> Column:
-    """Code points of the longest stored prefix within a budget of tokens, from the kept arrays."""
+    """Code points of the longest stored prefix within a budget of tokens, from the kept arrays, which end at pieces; for ends
+    inside a piece use `limits` of `token_prefixes`."""
     tokens = F.lit(tokens) if isinstance(tokens, int) else tokens
     inside = F.size(F.filter("counts", lambda c: c <= tokens))
     return F.when(inside > 0, F.element_at("ends", inside)).otherwise(F.lit(0))

@@ -367,6 +367,28 @@ def test_token_prefixes_equal_the_library(spark, corpus):
     assert all(r.counts == [count(r.piece[:k]) for k in range(1, len(r.piece) + 1)] for r in pieces)
 
 
+def test_budgets_and_offsets_inside_a_piece(spark):
+    counter, rng = tokens.Counter(tokens.VOCABULARY), random.Random(41)
+
+    def count(text):
+        return len(counter.library.encode(text, add_special_tokens=False).ids)
+    odd = "It's!!<|endoftext|>x12é\u0301İ!don't...a\u0301=\u0338b\u3000cΣ1"
+    mixed = ["".join(rng.choices("abcXYZ019'!?.<|>éÉ漢字、。İ\u0301", k=rng.randint(1, 300))) for _ in range(30)]
+    texts = [odd, " ".join(["one", odd, "two"]), "漢字仮名交文" * 900, "".join(rng.choices("abcdefgh019+/", k=9000)), "x" * 5000, *mixed, None]
+    limits, offsets = (0, 3, 20, 2048), (0, 2, 7, 40, 4000)
+    got = {r.id: r for r in tokens.token_prefixes(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]), limits=limits, keep=False, offsets=offsets).collect()}
+    for i, t in enumerate(texts):
+        t = t or ""
+        assert got[i].within == [count(t[:n]) for n in offsets]
+        if len(t) < 1000:
+            counts = [count(t[:n]) for n in range(len(t) + 1)]
+            for limit, chars in zip(limits, got[i].fits):
+                assert chars == max(n for n, c in enumerate(counts) if c <= limit), (t, limit)
+    long = texts[2]
+    assert count(long) > 2048 >= count(long[:got[2].fits[3]]) and 0 < got[2].fits[3] < len(long)
+    assert all(count(long[:n]) > 2048 for n in range(got[2].fits[3] + 1, got[2].fits[3] + 60))
+
+
 # ---------------------------------------------------------------- 10
 def test_clause_grammar():
     def worth(*kinds):
