@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keepwell.llm import chat, decontamination, embeddings, html_text, minhash, mixing, suffixes, tokens, toxicity, warc
+from keepwell.llm import chat, decontamination, embeddings, html_text, infill, minhash, mixing, negatives, suffixes, tokens, topk, toxicity, warc
 from keepwell.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,21 @@ def op8_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(records.where(~lost).withColumn("record", F.when(struck, hurt).otherwise(F.col("record"))), second)
     found = warc.audit(warc.leaves(spark, first), warc.leaves(spark, second))
     return found.select(F.col("id").cast("long").alias("page_id"), "fault", F.col("length").alias("record_bytes"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.filled_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), "id % 100 = 0", label)
+
+
+@query
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "id % 100 = 0").withColumnRenamed("id", "vec_id")
