@@ -271,9 +271,17 @@ CHECKS["report_heat_map"] = "select rfm_segment, " + ", ".join(
 CHECKS["report_reasons_by_band"] = "select churn_risk_band, top_churn_reason, count(*) as customers from rule_predictions group by 1, 2"
 
 # ---------------------------------------------------------------- what must hold for the fitted models
-CHECKS["audit_churn_predictions"] = "select customer_id, true as in_range, true as band_follows, true as reason_follows from feature_table"
+CHECKS["audit_churn_predictions"] = "select customer_id, true as in_range, true as probability_follows, true as band_follows, true as reason_follows from feature_table"
 CHECKS["audit_churn_logistic"] = f"""
 select 'logistic_regression' as model, count(*) as train_rows, true as stationary from ({CHECKS['churn_split']}) where split = 'train'"""
+_TREES = [("random_forest", 100), ("boosted_trees", 300)]
+CHECKS["audit_churn_trees"] = union(f"select '{m}' as model, customer_id, true as follows from feature_table" for m, _ in _TREES)
+CHECKS["churn_rules"] = union(f"select '{m}' as model, {n} as trees, count(*) as customers, true as one_leaf_per_tree from feature_table" for m, n in _TREES)
+CHECKS["audit_churn_comparison"] = f"""
+select model, test_rows, true as auc_follows, true as best_follows from (values ('logistic_regression'), ('random_forest'), ('boosted_trees')) as m(model),
+  (select count(*) as test_rows from ({CHECKS['churn_split']}) where split = 'test')"""
+CHECKS["audit_churn_importance"] = """
+select feature, count(*) as customers, true as effects_follow, true as importance_follows from effects group by feature"""
 CHECKS["audit_segment_powers"] = union(
     f"select '{c}' as feature, count({c}) as customers, false as improvable, true as standardised from feature_table" for c, *_p in _POWERS)
 CHECKS["audit_segments"] = "select customer_id, true as nearest, true as name_follows, true as priority_follows from feature_table"

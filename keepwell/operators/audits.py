@@ -13,24 +13,27 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keepwell.operators import churn, segments
+from keepwell.functions.ordering import numbered
+from keepwell.operators import churn, segments, trees
 from keepwell.operators.features import LABEL
 
 FLAT = 1e-3  #: largest mean gradient per standard deviation of a feature that counts as none
-SLACK = 0.1  #: how much nearer another centre may be, since the fit stops before its centres stand quite still
+CLOSE = 1e-9  #: largest difference between two ways to add up the same numbers
 NUDGE = 0.01  #: distance at which neighbouring powers are tried
 
 
-def predictions_follow(predictions: DataFrame, effects: DataFrame) -> DataFrame:
-    """Per prediction: probability within [0, 1], band by quarters, and no feature with a larger effect than the reason."""
+def predictions_follow(predictions: DataFrame, effects: DataFrame, scored: DataFrame) -> DataFrame:
+    """Per prediction: probability within [0, 1] and the one that the model's rules give (`scored`), band by quarters, and no
+    feature with a larger effect than the reason."""
     p = F.col("churn_probability")
     quarter = F.greatest(F.ceil(p * 4), F.lit(1)).cast("int")
     bands = F.array(*[F.lit(name) for _, name in churn.BANDS])
     sizes = effects.groupBy("customer_id").agg(
         F.max(F.abs("delta")).alias("largest"), F.map_from_entries(F.collect_list(F.struct("feature", F.abs("delta")))).alias("size"))
     own = F.try_element_at("size", F.col("top_churn_reason"))
-    return predictions.join(sizes, "customer_id", "left").select(
+    return predictions.join(sizes, "customer_id", "left").join(scored, "customer_id", "left").select(
         "customer_id", F.coalesce(p.between(0, 1), F.lit(False)).alias("in_range"),
+        F.coalesce(F.abs(p - F.col("probability")) < CLOSE, F.lit(False)).alias("probability_follows"),
         F.coalesce(F.col("churn_risk_band") == F.get(bands, quarter - 1), F.lit(False)).alias("band_follows"),
         F.coalesce(own == F.col("largest"), F.lit(False)).alias("reason_follows"))
 
@@ -47,6 +50,50 @@ def logistic_stationary(model: PipelineModel, train: DataFrame) -> DataFrame:
         F.lit("logistic_regression").alias("model"), "train_rows", (F.col("slope") < FLAT).alias("stationary"))
 
 
+def trees_follow(model: PipelineModel, ensemble: trees.Ensemble, rows: DataFrame, name: str) -> DataFrame:
+    """Per customer: whether the rules of the ensemble lead to one leaf of every tree and to the model's probability."""
+    ruled = ensemble.probability(rows, ["customer_id"])
+    return churn.probability(model, rows).join(ruled, "customer_id", "left").select(
+        F.lit(name).alias("model"), "customer_id",
+        F.coalesce(F.abs(F.col("probability") - F.col("churn_probability")) < CLOSE, F.lit(False)).alias("follows"))
+
+
+def rank_auc(scored: DataFrame, score: str = "probability", label: str = LABEL) -> float | None:
+    """Area under the ROC curve from mean ranks of a distributed sort; None where a class is missing."""
+    placed = numbered(scored.select(F.round(score, churn.DIGITS).alias("score"), F.col(label).alias("label")), [F.col("score")], "place", "auc")
+    ties = placed.groupBy("score").agg(F.avg(F.col("place") + 1).alias("mean_rank"), F.count_if(F.col("label") == 1).alias("pos"),
+                                       F.count(F.lit(1)).alias("n"))
+    total = ties.agg(F.sum(F.col("mean_rank") * F.col("pos")).alias("ranks"), F.sum("pos").alias("pos"), F.sum("n").alias("n")).first()
+    pos, neg = total["pos"] or 0, (total["n"] or 0) - (total["pos"] or 0)
+    return (total["ranks"] - pos * (pos + 1) / 2) / (pos * neg) if pos and neg else None
+
+
+def comparison_follows(reported: DataFrame, scored: dict[str, DataFrame]) -> DataFrame:
+    """Per model: rows it was tested on, and whether AUC and best model are those of `scored`, the same rows scored anew."""
+    found = {name: rank_auc(rows) for name, rows in scored.items()}
+    best = max(found, key=lambda name: found[name] or 0.0)
+    rows = [(r["model"], scored[r["model"]].count(), abs(r["auc"] - found[r["model"]]) < CLOSE, r["is_best"] == (r["model"] == best))
+            for r in reported.collect()]  # a row per model
+    return reported.sparkSession.createDataFrame(rows, "model string, test_rows long, auc_follows boolean, best_follows boolean")
+
+
+def importance_follows(reported: DataFrame, effects: DataFrame, ensemble: trees.Ensemble, rows: DataFrame) -> DataFrame:
+    """Per feature: customers, whether each one's effect is the one that the rules give, and whether the importance is their mean."""
+    n = len(churn.MODEL_FEATURES)
+    means = F.array(*[F.lit(m) for m in churn.feature_means(rows)])
+    variants = rows.select("customer_id", ensemble.values().alias("x"), F.explode(F.sequence(F.lit(0), F.lit(n))).alias("i"))
+    changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.element_at(means, j + 1)).otherwise(v))
+    ruled = ensemble.probability(variants, ["customer_id", "i"], changed)
+    own = ruled.where(F.col("i") == n).select("customer_id", F.col("probability").alias("own"))
+    again = ruled.join(own, "customer_id").select("customer_id", F.col("i").alias("feature_no"), (F.col("own") - F.col("probability")).alias("ruled"))
+    per_feature = effects.join(again, ["customer_id", "feature_no"], "left").groupBy("feature").agg(
+        F.count(F.lit(1)).alias("customers"), F.every(F.coalesce(F.abs(F.col("delta") - F.col("ruled")) < CLOSE, F.lit(False))).alias("effects_follow"),
+        F.avg(F.abs("ruled")).alias("mean_ruled"))
+    return per_feature.join(reported, "feature", "left").select(
+        "feature", "customers", "effects_follow",
+        F.coalesce(F.abs(F.col("mean_effect") - F.col("mean_ruled")) < CLOSE, F.lit(False)).alias("importance_follows"))
+
+
 def powers_follow(df: DataFrame, powers: dict[str, segments.Power]) -> DataFrame:
     """Per feature: no higher likelihood at the powers beside the fitted one, and scaled values with mean 0 and deviation 1."""
     rows = []
@@ -62,20 +109,16 @@ def powers_follow(df: DataFrame, powers: dict[str, segments.Power]) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "feature string, customers long, improvable boolean, standardised boolean")
 
 
-def segments_follow(table: DataFrame, points: DataFrame) -> DataFrame:
-    """Per customer: assigned to the nearest centre, named by the place of the centre's spend, priority by name and risk."""
-    placed = table.join(points.select("customer_id", *segments.SCALED), "customer_id")
-    means = placed.groupBy("rfm_cluster_id").agg(*[F.avg(c).alias(f"m_{c}") for c in segments.SCALED])
-    centres = means.agg(F.collect_list(F.struct("rfm_cluster_id", *[f"m_{c}" for c in segments.SCALED]))).scalar()  # k entries
+def segments_follow(table: DataFrame, points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Per customer: assigned to the nearest of the model's own centres (cluster_id and the scaled measures, k rows), named by
+    the place of the centre's spend, priority by name and risk."""
+    listed = centres.agg(F.collect_list(F.struct("cluster_id", *segments.SCALED))).scalar()  # k entries
 
     def distance(centre):
-        return F.sqrt(sum(((F.col(c) - centre[f"m_{c}"]) ** 2 for c in segments.SCALED), F.lit(0.0)))
-
-    def own(centre):
-        return centre["rfm_cluster_id"] == F.col("rfm_cluster_id")
-    spend = f"m_{segments.SCALED[2]}"
-    met = placed.withColumn("centres", centres)
-    mine = F.element_at(F.filter("centres", own), 1)
+        return F.sqrt(sum(((F.col(c) - centre[c]) ** 2 for c in segments.SCALED), F.lit(0.0)))
+    spend = segments.SCALED[2]
+    met = table.join(points.select("customer_id", *segments.SCALED), "customer_id").withColumn("centres", listed)
+    mine = F.element_at(F.filter("centres", lambda x: x["cluster_id"] == F.col("rfm_cluster_id")), 1)
     nearest = F.array_min(F.transform("centres", distance))
     richer = F.size(F.filter("centres", lambda x: x[spend] > F.col("mine")[spend]))
     names = F.array(*[F.lit(n) for n in segments.NAMES_BY_SPEND])
@@ -83,7 +126,7 @@ def segments_follow(table: DataFrame, points: DataFrame) -> DataFrame:
     steps = F.array(F.lit("Low"), F.lit("Medium"), F.lit("High"), F.lit("Urgent"))
     step = F.when(F.col("place") == 2, 0).otherwise(F.lit(2) - F.col("place") + risky.cast("int"))
     return (met.withColumn("mine", mine).withColumn("place", richer).select(
-        "customer_id", (distance(F.col("mine")) <= nearest + SLACK).alias("nearest"),
+        "customer_id", (distance(F.col("mine")) <= nearest + CLOSE).alias("nearest"),
         (F.col("rfm_segment") == F.get(names, F.col("place"))).alias("name_follows"),
         (F.col("retention_priority") == F.get(steps, step)).alias("priority_follows")))
 

@@ -18,6 +18,7 @@ from keepwell.operators.features import FEATURES, LABEL
 LABEL_INPUTS = ("recency_days", "total_orders")
 MODEL_FEATURES = tuple(f for f in FEATURES if f not in LABEL_INPUTS)
 TRAIN_SHARE, SEED = 0.7, 42
+DIGITS = 12  #: of a probability that count when scores are ranked; the rest depends on the order of a sum
 # fixed values: upper ends of the right-closed probability bands
 BANDS = ((0.25, "Low"), (0.50, "Medium"), (0.75, "High"), (1.0, "Critical"))
 
@@ -105,7 +106,9 @@ def auc(scored: DataFrame, score: str = "churn_probability", label: str = LABEL)
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """AUC per model, best first."""
-    rows = [(name, float(auc(probability(m, test)))) for name, m in models.items()]
+    def ranked(model):
+        return probability(model, test).withColumn("churn_probability", F.round("churn_probability", DIGITS))
+    rows = [(name, float(auc(ranked(m)))) for name, m in models.items()]
     best = max(rows, key=lambda r: r[1])[0]
     return test.sparkSession.createDataFrame([(n, a, n == best) for n, a in rows], "model string, auc double, is_best boolean") \
         .orderBy(F.desc("auc"))
@@ -171,6 +174,12 @@ def logistic_weights(model: PipelineModel) -> dict[str, float]:
     return dict(zip(MODEL_FEATURES, [float(w) for w in model.stages[-1].coefficients], strict=True))
 
 
+def linear_probability(weights: dict[str, float], intercept: float, df: DataFrame) -> DataFrame:
+    """(customer_id, label, probability) of a logistic model from its weights alone."""
+    margin = sum((F.lit(w) * F.col(f).cast("double") for f, w in weights.items()), F.lit(float(intercept)))
+    return df.select("customer_id", LABEL, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("probability"))
+
+
 def top_reason(effects: DataFrame) -> DataFrame:
     """Feature with the largest absolute effect per customer; the earlier feature wins a tie."""
     best = F.max(F.struct(F.abs("delta").alias("size"), (-F.col("feature_no")).alias("first"), "feature"))

@@ -204,15 +204,49 @@ query("report_reasons_by_band")(lambda lake: reports.reasons_by_band(lake.rule_p
 query("report_call_list_fitted")(fitted.call_list)
 
 # ---------------------------------------------------------------- what must hold for the fitted models, so that SQL can say it
-query("audit_churn_predictions")(lambda lake: audits.predictions_follow(fitted.predictions(lake), fitted.effects(lake)))
+query("audit_churn_predictions")(lambda lake: audits.predictions_follow(fitted.predictions(lake), fitted.effects(lake), fitted.ruled(lake)))
 
 
 @query("audit_churn_logistic")
 def _audit_logistic(lake):
+    """The model that `churn_model_comparison` measures."""
     train = churn.balanced(fitted.modelling_table(lake).where("split = 'train'"))
-    return audits.logistic_stationary(churn.logistic().fit(train), train)
+    return audits.logistic_stationary(churn.load(lake.spark, fitted.compared(lake)["logistic_regression"]), train)
+
+
+@query("audit_churn_trees")
+def _audit_trees(lake):
+    rows = feat.as_doubles(lake.features())
+    return stacked([audits.trees_follow(churn.load(lake.spark, fitted.compared(lake)[name]), fitted.ensemble(lake, name), rows, name)
+                    for name in ("random_forest", "boosted_trees")])
+
+
+@query("audit_churn_comparison")
+def _audit_comparison(lake):
+    test = fitted.modelling_table(lake).where("split = 'test'")
+    linear = churn.load(lake.spark, fitted.compared(lake)["logistic_regression"])
+    scored = {"logistic_regression": churn.linear_probability(churn.logistic_weights(linear), linear.stages[-1].intercept, test)}
+    for name in ("random_forest", "boosted_trees"):
+        scored[name] = fitted.ensemble(lake, name).probability(test, ["customer_id", feat.LABEL])
+    return audits.comparison_follows(fitted.model_comparison(lake), scored)
+
+
+query("audit_churn_importance")(lambda lake: audits.importance_follows(
+    churn.importance(fitted.effects(lake)), fitted.effects(lake), fitted.ensemble(lake, "boosted_trees"), feat.as_doubles(lake.features())))
+
+
+@query("churn_rules")
+def _rules(lake):
+    """What the rules of the two ensembles consist of, and in how many leaves each row of the modelling table ends."""
+    def described(name):
+        e = fitted.ensemble(lake, name)
+        return e.rules.total(lake.features(), ["customer_id"], e.values()).agg(
+            F.lit(name).alias("model"), F.lit(e.rules.all_trees).alias("trees"), F.count(F.lit(1)).alias("customers"),
+            F.every(F.col("leaves") == e.rules.trees).alias("one_leaf_per_tree"))
+    return stacked([described(name) for name in ("random_forest", "boosted_trees")])
 
 
 query("audit_segment_powers")(lambda lake: audits.powers_follow(fitted.clipped(lake), fitted.powers(lake)))
-query("audit_segments")(lambda lake: audits.segments_follow(fitted.segment_table(lake), fitted.points(lake)))
+query("audit_segments")(lambda lake: audits.segments_follow(
+    fitted.segment_table(lake), fitted.points(lake), fitted.centres(lake)))
 query("audit_recommendations")(lambda lake: audits.recommendations_follow(fitted.recommendation_table(lake)))

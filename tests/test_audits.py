@@ -15,12 +15,14 @@ def test_predictions_audit(lake):
     model = churn.logistic(50).fit(churn.balanced(table))
     effects = churn.replaced_by_mean(model, table).cache()
     made = churn.predictions(churn.probability(model, table), churn.top_reason(effects), lake.last_day())
-    sound = audits.predictions_follow(made, effects)
+    again = churn.linear_probability(churn.logistic_weights(model), model.stages[-1].intercept, table).select("customer_id", "probability")
+    sound = audits.predictions_follow(made, effects, again)
     assert sound.count() == table.count()
-    assert all(_wrong(sound, f) == 0 for f in ("in_range", "band_follows", "reason_follows"))
-    assert _wrong(audits.predictions_follow(made.withColumn("churn_probability", F.col("churn_probability") + 1.5), effects), "in_range") == table.count()
-    assert _wrong(audits.predictions_follow(made.withColumn("churn_risk_band", F.lit("Low")), effects), "band_follows") > 0
-    assert _wrong(audits.predictions_follow(made.withColumn("top_churn_reason", F.lit("pct_social")), effects), "reason_follows") > 0
+    assert all(_wrong(sound, f) == 0 for f in ("in_range", "probability_follows", "band_follows", "reason_follows"))
+    raised = audits.predictions_follow(made.withColumn("churn_probability", F.col("churn_probability") + 1.5), effects, again)
+    assert _wrong(raised, "in_range") == _wrong(raised, "probability_follows") == table.count()
+    assert _wrong(audits.predictions_follow(made.withColumn("churn_risk_band", F.lit("Low")), effects, again), "band_follows") > 0
+    assert _wrong(audits.predictions_follow(made.withColumn("top_churn_reason", F.lit("pct_social")), effects, again), "reason_follows") > 0
     effects.unpersist()
 
 
@@ -42,15 +44,20 @@ def test_power_audit(lake):
 def test_segment_audit(lake):
     points = fitted.points(lake)
     powers = fitted.powers(lake)
-    assigned = segments.best_kmeans(points, restarts=3).transform(points)
+    model = segments.best_kmeans(points, restarts=3)
+    assigned = model.transform(points)
+    centres = points.sparkSession.createDataFrame([(i, *map(float, c)) for i, c in enumerate(model.clusterCenters())],
+                                                  ["cluster_id", *segments.SCALED])
     table = segments.segment_table(segments.with_names(assigned, powers), lake.rule_predictions(), "KMeans", 0.0, lake.last_day())
     flags = ("nearest", "name_follows", "priority_follows")
-    sound = audits.segments_follow(table, points)
+    sound = audits.segments_follow(table, points, centres)
     assert sound.count() == points.count() and all(_wrong(sound, f) == 0 for f in flags)
     shuffled = table.withColumn("rfm_cluster_id", (F.abs(F.xxhash64("customer_id")) % 3).cast("int"))
-    assert _wrong(audits.segments_follow(shuffled, points), "nearest") > 0
-    assert _wrong(audits.segments_follow(table.withColumn("rfm_segment", F.lit(segments.LOYAL)), points), "name_follows") > 0
-    assert _wrong(audits.segments_follow(table.withColumn("retention_priority", F.lit("Low")), points), "priority_follows") > 0
+    assert _wrong(audits.segments_follow(shuffled, points, centres), "nearest") > 0
+    moved = centres.withColumn(segments.SCALED[0], F.when(F.col("cluster_id") == 0, F.col(segments.SCALED[0]) + 1.0).otherwise(F.col(segments.SCALED[0])))
+    assert _wrong(audits.segments_follow(table, points, moved), "nearest") > 0
+    assert _wrong(audits.segments_follow(table.withColumn("rfm_segment", F.lit(segments.LOYAL)), points, centres), "name_follows") > 0
+    assert _wrong(audits.segments_follow(table.withColumn("retention_priority", F.lit("Low")), points, centres), "priority_follows") > 0
 
 
 def test_recommendation_audit(spark):
