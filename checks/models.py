@@ -137,6 +137,20 @@ CHECKS["recommend_segment_samples"] = """
 select segment, r.customer_id, product_id, rank, als_score from rule_recs r join (
   select rfm_segment as segment, max(customer_id) as customer_id from rule_segments group by rfm_segment) s on r.customer_id = s.customer_id where rank <= 3"""
 
+def _factors(key: str, index: str, scaled: bool) -> str:
+    def byte(mark):
+        return f"cast('0x' || substr(md5({key} || '#{mark}'), 1, 2) as integer)"
+    size = f"pow(2, {byte('n')} // 32)" if scaled else "1"
+    return f"select {index} as id, [" + ", ".join(f"({byte(i)} - 128) * {size}::double" for i in range(8)) + f"] as f from ({CHECKS[f'recommend_{index[:4]}_ids']})"
+
+
+add("user_factors", _factors("customer_id", "user_idx", False))
+add("item_factors", _factors("product_id", "item_idx", True))
+CHECKS["recommend_best_items"] = """
+select cast(u as bigint) as user, cast(i as bigint) as item, cast(rn as integer) as rank, score from (
+  select u.id as u, i.id as i, list_dot_product(u.f, i.f) as score, row_number() over (partition by u.id order by list_dot_product(u.f, i.f) desc, i.id) as rn
+  from user_factors u join item_factors i on true) where rn <= 10"""
+
 # ---------------------------------------------------------------- re-ranking
 add("baskets", f"""
 select customer_id, {money_mean('items')} as avg_qty_per_order, count(session_id) as session_count from (
@@ -286,6 +300,9 @@ CHECKS["audit_segment_powers"] = union(
     f"select '{c}' as feature, count({c}) as customers, false as improvable, true as standardised from feature_table" for c, *_p in _POWERS)
 CHECKS["audit_segments"] = "select customer_id, true as nearest, true as name_follows, true as priority_follows from feature_table"
 add("trained", "select distinct customer_id, product_id from interactions where order_date <= (select cutoff from split_day)")
+CHECKS["audit_best_items"] = """
+select customer_id, (select least(10, count(distinct product_id)) from trained) as offers, true as scores_follow, true as none_better
+from (select distinct customer_id from trained)"""
 CHECKS["audit_recommendations"] = """
 select customer_id, 'als' as rec_source, (select least(10, count(distinct product_id)) from trained) as offers, cast(1 as bigint) as first_ranks, cast(0 as bigint) as inversions
 from (select distinct customer_id from trained)

@@ -10,6 +10,7 @@ import math
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from keepwell.operators.features import LABEL
 
 FLAT = 1e-3  #: largest mean gradient per standard deviation of a feature that counts as none
 CLOSE = 1e-9  #: largest difference between two ways to add up the same numbers
+SINGLE = 1e-5  #: the same, relative, where one of them is in single precision
 NUDGE = 0.01  #: distance at which neighbouring powers are tried
 
 
@@ -137,3 +139,19 @@ def recommendations_follow(recs: DataFrame) -> DataFrame:
     return recs.withColumn("before", before).groupBy("customer_id").agg(
         F.array_join(F.array_sort(F.collect_set("rec_source")), "+").alias("rec_source"), F.count_distinct("product_id").alias("offers"),
         F.count_if(F.col("rank") == 1).alias("first_ranks"), F.count_if(F.col("als_score") > F.col("before")).alias("inversions"))
+
+
+def best_items_follow(found: DataFrame, users: DataFrame, items: DataFrame, model: ALSModel, n: int) -> DataFrame:
+    """Per user: offers, whether each score is the product of the two factor rows, and whether every score is as high as the one
+    that Spark's own search over all items finds at that rank (in single precision)."""
+    def product(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    mine = (found.join(users.select(F.col("id").cast("long").alias("user"), F.col("features").alias("u")), "user")
+            .join(items.select(F.col("id").cast("long").alias("item"), F.col("features").alias("v")), "item")
+            .withColumn("right", F.abs(F.col("score") - product("u", "v")) < CLOSE))
+    every = model.recommendForAllUsers(n).select(F.col(model.getUserCol()).cast("long").alias("user"), F.posexplode("recommendations").alias("pos", "rec"))
+    theirs = every.select("user", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").cast("double").alias("rating"))
+    level = F.abs(F.col("score") - F.col("rating")) <= SINGLE * F.greatest(F.abs("rating"), F.lit(1.0))
+    return theirs.join(mine, ["user", "rank"], "full").groupBy("user").agg(
+        F.count("item").alias("offers"), F.every(F.coalesce("right", F.lit(False))).alias("scores_follow"),
+        F.every(F.coalesce(level, F.lit(False))).alias("none_better"))

@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,12 +74,10 @@ def grid_report(tuned: CrossValidatorModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "rank int, reg double, iterations int, rmse double").orderBy("rmse")
 
 
-def top_items(model: ALSModel, users: DataFrame, items: DataFrame, n: int = TOP) -> DataFrame:
-    """Top `n` per user with natural ids; ids unknown to the mapping drop out."""
-    long = model.recommendForAllUsers(n).select("user_idx", F.posexplode("recommendations").alias("pos", "rec"))
-    flat = long.select("user_idx", F.col("rec.item_idx").alias("item_idx"), (F.col("pos") + 1).alias("rank"),
-                       F.col("rec.rating").cast("double").alias("als_score"))
-    return flat.join(users, "user_idx").join(items, "item_idx").select("customer_id", "product_id", "rank", "als_score")
+def with_natural_ids(found: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """Best items (user, item, rank, score) with natural ids; ids unknown to the mapping drop out."""
+    named = found.join(users.withColumn("user", F.col("user_idx").cast("long")), "user").join(items.withColumn("item", F.col("item_idx").cast("long")), "item")
+    return named.select("customer_id", "product_id", "rank", F.col("score").alias("als_score"))
 
 
 # ---------------------------------------------------------------- fallback and output

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keepwell.operators import audits, churn, features as feat, insight, interactions, recommend, reports, rerank, segments
+from keepwell.operators import audits, churn, features as feat, insight, interactions, recommend, reports, rerank, retrieval, segments
 from keepwell.operators.profiling import stacked
 from keepwell.plans import fitted
 from keepwell.plans import reference_rules as rules
@@ -94,6 +94,17 @@ query("recommend_als")(fitted.recommendation_table)
 query("recommend_als_overlap")(lambda lake: recommend.overlap(fitted.recommendation_table(lake)))
 
 
+@query("recommend_best_items")
+def _best_items(lake):
+    """The exact search over stand-in factors of every customer and product."""
+    users, items = fitted.ids(lake)
+    found = retrieval.searched(rules.factors(users, "customer_id", "user_idx", False), rules.factors(items, "product_id", "item_idx", True), "id", "id")
+    return retrieval.best(found)
+
+
+query("recommend_search_effort")(lambda lake: retrieval.effort(fitted.searched(lake)))
+
+
 @query("recommend_als_quality")
 def _als_quality(lake):
     """Test RMSE beside precision, NDCG and lift of the fitted model."""
@@ -249,4 +260,11 @@ def _rules(lake):
 query("audit_segment_powers")(lambda lake: audits.powers_follow(fitted.clipped(lake), fitted.powers(lake)))
 query("audit_segments")(lambda lake: audits.segments_follow(
     fitted.segment_table(lake), fitted.points(lake), fitted.centres(lake)))
+@query("audit_best_items")
+def _audit_best_items(lake):
+    model = fitted.als_model(lake)
+    return audits.best_items_follow(retrieval.best(fitted.searched(lake)), model.userFactors, model.itemFactors, model, recommend.TOP).join(
+        fitted.ids(lake)[0].withColumn("user", F.col("user_idx").cast("long")), "user").select("customer_id", "offers", "scores_follow", "none_better")
+
+
 query("audit_recommendations")(lambda lake: audits.recommendations_follow(fitted.recommendation_table(lake)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from keepwell.operators import churn, segments
 from keepwell.operators.segments import Power
 
-HALF_RISK_DAYS = 40.0
+HALF_RISK_DAYS, FACTORS = 40.0, 8
 EFFECTS = {"total_spent": -0.0000004, "avg_order_value": 0.00002, "refund_count": 0.05, "refund_rate": 2.5, "abandon_rate": 1.5,
            "avg_pages_viewed": -0.06, "avg_session_duration": -0.000001, "session_count": -0.04, "pct_organic": 0.3,
            "pct_social": -0.2, "avg_rating": -0.35, "payment_idx": 0.08}
@@ -39,3 +39,12 @@ def assigned(features: DataFrame) -> DataFrame:
 
 def segment_table(features: DataFrame, predictions: DataFrame, as_of: Column) -> DataFrame:
     return segments.segment_table(segments.with_names(assigned(features), POWERS), predictions, "nearest_center", None, as_of)
+
+
+# ---------------------------------------------------------------- factors
+def factors(ids: DataFrame, key: str, index: str, scaled: bool) -> DataFrame:
+    """(id, features): whole numbers from hashes of the natural id, in place of learned factors. `scaled` gives norms that differ."""
+    def byte(mark: str) -> Column:
+        return F.conv(F.substring(F.md5(F.concat(F.col(key), F.lit(f"#{mark}"))), 1, 2), 16, 10).cast("double")
+    size = F.pow(F.lit(2.0), F.floor(byte("n") / 32)) if scaled else F.lit(1.0)
+    return ids.select(F.col(index).alias("id"), F.array(*[(byte(str(i)) - 128) * size for i in range(FACTORS)]).alias("features"))
