@@ -55,3 +55,9 @@ CHECKS["ingest_corrupt_messages"] = union(
     f"""select '{t}' as topic, '{kind}' as kind, count(*) as messages from raw_{t} where _source = 'live_events'
   and {test} coalesce(substr(md5({schema.fieldNames()[0]}), 1, 1) = '0', false)"""
     for t, schema in TOPICS.items() for kind, test in (("rows", "not"), ("corrupt", "")))
+
+_CUT = {t: f"coalesce(substr(md5({schema.fieldNames()[0]}), 1, 1) = '0', false)" for t, schema in TOPICS.items()}
+CHECKS["ingest_rule_counts"] = union(
+    f"""select '{t}' as table_name, count(*) as rows_in, count(*) filter (where {cut}) as rows_quarantined, '{rule}' as rule, '{action}' as action,
+  count(*) filter (where {cut} or {test}) as violations, count(*) filter (where not {cut}) as rows_kept from raw_{t} where _source = 'live_events'"""
+    for t, cut in _CUT.items() for rule, action, test in (("readable", "drop", "false"), ("has_customer", "warn", "customer_id is null")))

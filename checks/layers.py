@@ -130,7 +130,8 @@ add("fact_days", " union all ".join(
     f"select cast(min({c}) as date) as lo, cast(max({c}) as date) as hi from silver_{t}" for t, c in (
         ("orders", "order_date"), ("payments", "payment_date"), ("shipments", "shipped_date"), ("shipments", "actual_delivery"),
         ("shipments", "estimated_delivery"), ("refunds", "requested_date"), ("refunds", "processed_date"), ("reviews", "review_date"),
-        ("sessions", "session_date"), ("cart_events", "event_date"))))
+        ("sessions", "session_date"), ("cart_events", "event_date"), ("campaign_responses", "event_time"),
+        ("inventory", "snapshot_date"), ("inventory", "last_updated"))))
 add("gold_dim_date", f"""
 select *, festive_event_name is not null as is_festive_day from (select *,
   case when is_diwali then 'Diwali' when is_dhanteras then 'Dhanteras' when is_dhamaka_days then 'Dhamaka Days'

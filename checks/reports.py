@@ -52,6 +52,15 @@ CHECKS["quality_expectations"] = union(
     f"count(*) filter (where not coalesce({c}, false)) as violations from undropped_{t}"
     for t, rules in _RULES.items() for r, a, c in rules)
 
+_DROPS = {t: [c for _, a, c in rules if a == "drop"] for t, rules in _RULES.items()}
+_ASIDE = {t: " or ".join(f"not coalesce({c}, false)" for c in drops) or "false" for t, drops in _DROPS.items()}
+CHECKS["quality_conservation"] = union(
+    f"select '{t}' as table_name, count(*) as rows_in, count(*) filter (where not ({aside})) as rows_kept, count(*) filter (where {aside}) as rows_quarantined, "
+    f"true as balanced from undropped_{t}" for t, aside in _ASIDE.items())
+CHECKS["quality_quarantined"] = union(
+    f"select '{t}' as table_name, concat_ws(',', " + ", ".join(f"case when not coalesce({c}, false) then '{r}' end" for r, _, c in _RULES[t])
+    + f") as broken_rules, count(*) as rows from undropped_{t} where {aside} group by all" for t, aside in _ASIDE.items())
+
 # ---------------------------------------------------------------- profiling
 _COLUMNS = {
     "customers": "customer_id first_name last_name email phone_number date_of_birth gender city state pincode loyalty_tier registration_date is_active",

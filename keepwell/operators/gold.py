@@ -75,16 +75,16 @@ def calendar(days: DataFrame) -> DataFrame:
 
 # dates of the facts, which the calendar must cover: silver table -> columns
 FACT_DATES = {"orders": ("order_date",), "payments": ("payment_date",), "shipments": ("shipped_date", "actual_delivery", "estimated_delivery"),
-              "refunds": ("requested_date", "processed_date"), "reviews": ("review_date",), "sessions": ("session_date",), "cart_events": ("event_date",)}
+              "refunds": ("requested_date", "processed_date"), "reviews": ("review_date",), "sessions": ("session_date",), "cart_events": ("event_date",),
+              "campaign_responses": ("event_time",), "inventory": ("snapshot_date", "last_updated")}
 
 
-def sales_calendar(orders: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
-    """Every day of the fixed calendar, widened where a fact lies outside it, with the number of orders of each day."""
-    spans = [facts[t].agg(F.min(F.least(*cols) if len(cols) > 1 else cols[0]).cast("date").alias("lo"),
-                          F.max(F.greatest(*cols) if len(cols) > 1 else cols[0]).cast("date").alias("hi")) for t, cols in FACT_DATES.items()]
-    every = reduce(DataFrame.unionByName, spans)
-    bounds = every.agg(F.struct(F.least(F.min("lo"), F.lit(CALENDAR_START).cast("date")).alias("lo"),
-                                F.greatest(F.max("hi"), F.lit(CALENDAR_END).cast("date")).alias("hi")).alias("b")).scalar()
+def sales_calendar(orders: DataFrame, extents: DataFrame) -> DataFrame:
+    """Every day of the fixed calendar, widened where a fact lies outside it, with the number of orders of each day.
+
+    `extents` has `first_day` and `last_day` of every date column of the facts, as kept when they were written."""
+    bounds = extents.agg(F.struct(F.least(F.min("first_day"), F.lit(CALENDAR_START).cast("date")).alias("lo"),
+                                  F.greatest(F.max("last_day"), F.lit(CALENDAR_END).cast("date")).alias("hi")).alias("b")).scalar()
     days = dim_date(orders.sparkSession, bounds["lo"], bounds["hi"])
     placed = orders.groupBy(F.col("order_date").alias("date_key")).agg(F.count("order_id").alias("orders_placed"))
     return days.join(placed, "date_key", "left").fillna(0, subset=["orders_placed"])

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keepwell.operators import reports
+from keepwell.operators import quality, reports
 from keepwell.plans.registry import query
 from keepwell.session import scratch_path
 from keepwell.sources import files, jdbc
@@ -108,17 +108,23 @@ for _name in (*FILES_ONLY, *DUAL):
     query(f"ingest_evolving_{_name}")(lambda lake, n=_name: _traced(_evolving(lake, n)))
 
 
+def _cut_messages(lake, topic: str) -> str:
+    """The messages of a topic, one in sixteen cut short."""
+    schema = TOPICS[topic]
+    sent = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "false"})
+    cut = F.coalesce(F.substring(F.md5(F.col(schema.fieldNames()[0])), 1, 1) == "0", F.lit(False))
+    value = F.when(cut, F.substr(sent, F.lit(1), F.length(sent) - 1)).otherwise(sent)
+    base = scratch_path(lake.spark, f"land_cut_{topic}")
+    lake.raw(topic).where("_source = 'live_events'").select(value.alias("value")).write.text(f"{base}/live")
+    return base
+
+
 @query("ingest_corrupt_messages")
 def _corrupt(lake):
-    """Messages of every topic, one in sixteen cut short: how many of them the stream landed as rows and how many aside."""
+    """How many messages the stream landed as rows and how many aside."""
     parts = []
-    for topic, schema in TOPICS.items():
-        first = schema.fieldNames()[0]
-        sent = F.to_json(F.struct(*schema.fieldNames()), {"ignoreNullFields": "false"})
-        cut = F.coalesce(F.substring(F.md5(F.col(first)), 1, 1) == "0", F.lit(False))
-        value = F.when(cut, F.substr(sent, F.lit(1), F.length(sent) - 1)).otherwise(sent)
-        base = scratch_path(lake.spark, f"land_corrupt_{topic}")
-        lake.raw(topic).where("_source = 'live_events'").select(value.alias("value")).write.text(f"{base}/live")
+    for topic in TOPICS:
+        base = _cut_messages(lake, topic)
         arriving = ingest.received(ingest.json_lines(lake.spark, f"{base}/live"), topic)
         table = ingest.ingest(arriving, f"{base}/table", f"{base}/checkpoint")
         for kind, rows in (("rows", table), ("corrupt", ingest.set_aside(lake.spark, f"{base}/table", topic))):
@@ -126,6 +132,19 @@ def _corrupt(lake):
     return files.stacked(parts)
 
 
+@query("ingest_rule_counts")
+def _rule_counts(lake):
+    """Rules on arriving messages, counted batch by batch while the stream writes them."""
+    parts = []
+    for topic in TOPICS:
+        base = _cut_messages(lake, topic)
+        arriving = ingest.received(ingest.json_lines(lake.spark, f"{base}/live", files_per_trigger=3), topic)
+        rules = [quality.drop("readable", f"not {ingest.ASIDE}"), quality.warn("has_customer", "customer_id is not null")]
+        kept, counts = ingest.ingest_checked(arriving, rules, topic, f"{base}/table", f"{base}/checkpoint")
+        parts.append(counts.join(kept.agg(F.count(F.lit(1)).alias("rows_kept"))))
+    return files.stacked(parts)
+
+
 query("ingest_master_counts")(lambda lake: files.row_counts({t: jdbc.stamped(lake.raw(t)) for t in jdbc.MASTERS}))
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keepwell.operators import features, gold, interactions, silver
-from keepwell.session import stored
+from keepwell.operators import features, gold, interactions, quality, silver
+from keepwell.session import scratch_path, stored
 from keepwell.sources.retail import RetailSource
 
 # tables already written by this application: (application, directory, name) -> DataFrame
 _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+_CHECKED: dict[tuple[str, str, str], quality.Checked] = {}
 
 
 class Lake:
@@ -30,7 +32,7 @@ class Lake:
 
     def gold(self, name: str) -> DataFrame:
         if name == "dim_date":
-            return gold.sales_calendar(self.table("orders"), {t: self.table(t) for t in gold.FACT_DATES})
+            return gold.sales_calendar(self.table("orders"), reduce(DataFrame.unionByName, [self.checked(t).extents for t in gold.FACT_DATES]))
         return gold.build(name, self.table)
 
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -39,9 +41,17 @@ class Lake:
             _WRITTEN[key] = stored(build(), name)
         return _WRITTEN[key]
 
+    def checked(self, name: str) -> quality.Checked:
+        """A silver table as written: its rows, those set aside, and what was counted on the way."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _CHECKED:
+            rows = silver.BUILDERS[name](self.raw(name))
+            _CHECKED[key] = quality.write_checked(rows, silver.RULES[name], scratch_path(self.spark, f"silver_{name}"), name, gold.FACT_DATES.get(name, ()))
+        return _CHECKED[key]
+
     def table(self, name: str) -> DataFrame:
-        """A written silver table."""
-        return self.once(f"silver_{name}", lambda: self.silver(name))
+        """The kept rows of a written silver table."""
+        return self.checked(name).kept
 
     def rfm(self) -> DataFrame:
         return self.once("rfm_base", lambda: features.rfm_base(self.table("orders")))

@@ -35,13 +35,23 @@ from keepwell.functions.parsing import is_ghost  # noqa: E402
 from keepwell.operators import features as feat  # noqa: E402
 from keepwell.operators import interactions as inter  # noqa: E402
 from keepwell.operators import profiling as prof  # noqa: E402
-from keepwell.operators.quality import violation_report  # noqa: E402
+from keepwell.operators.quality import conservation  # noqa: E402
 
 
 @query("quality_expectations")
 def _expectations(lake):
-    return prof.stacked([violation_report(build(lake.raw(name)), silver.RULES[name], name)
-                         for name, build in silver.BUILDERS.items()])
+    """What was counted when the tables were written."""
+    return prof.stacked([lake.checked(name).counts for name in silver.BUILDERS]).drop("rows_quarantined")
+
+
+query("quality_conservation")(lambda lake: conservation({name: lake.checked(name) for name in silver.BUILDERS}))
+
+
+@query("quality_quarantined")
+def _quarantined(lake):
+    """Rows that were set aside, by the rules they break."""
+    return prof.stacked([lake.checked(name).quarantined.groupBy(F.array_join("broken_rules", ",").alias("broken_rules")).agg(
+        F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "broken_rules", "rows") for name in silver.BUILDERS])
 
 
 PROFILED = ("customers", "products", "sellers", "reviews", "commissions", "sessions", "cart_events", "campaign_responses", "geo")

@@ -18,6 +18,8 @@ def local_session(cores: str | None = None, name: str = "keepwell") -> SparkSess
              # HotSpot never compiles methods over 8000 bytecodes; wide cleaning projections exceed that
              # as one fused method, and run several times faster as separately compiled expressions
              .config("spark.sql.codegen.hugeMethodLimit", "8000")
+             # the two partitions of a checked table are written side by side instead of sorted
+             .config("spark.sql.maxConcurrentOutputFileWriters", "4")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

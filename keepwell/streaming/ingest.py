@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from keepwell.operators.quality import BROKEN, QUARANTINED, Rule, RuleCounts, count_rows, observed
 from keepwell.sources.files import CSV, lineage
 from keepwell.sources.schemas import HISTORY, TOPICS
 
@@ -48,10 +49,10 @@ def kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def json_lines(spark: SparkSession, folder: str, streaming: bool = True) -> DataFrame:
+def json_lines(spark: SparkSession, folder: str, streaming: bool = True, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """A folder of JSON lines shaped like a topic: one `value` column."""
     schema = StructType([StructField("value", StringType())])
-    reader = spark.readStream.schema(schema) if streaming else spark.read
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger) if streaming else spark.read
     return reader.text(folder).select(F.col("value").cast("binary").alias("value"))
 
 
@@ -94,9 +95,28 @@ def dual_source(spark: SparkSession, table: str, history_folder: str, messages:
 
 
 def append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Rows marked ASIDE go to a partition of their own by the same commit, so none is lost when the checkpoint moves on."""
+    """Rows marked ASIDE or QUARANTINED go to a partition of their own by the same commit, so none is lost when the checkpoint moves on."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return (writer.partitionBy(ASIDE) if ASIDE in df.columns else writer).outputMode("append").trigger(availableNow=True).start()
+    marks = [c for c in (QUARANTINED, ASIDE) if c in df.columns]
+    return (writer.partitionBy(*marks) if marks else writer).outputMode("append").trigger(availableNow=True).start()
+
+
+def ingest_checked(df: DataFrame, rules: list[Rule], name: str, path: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """Append everything that is new, with the rules each row breaks; rows that break a dropping rule stay in the table, quarantined.
+
+    Returns the kept rows of the whole table and a row per rule with the counts of this run, as the stream told them."""
+    spark, told = df.sparkSession, RuleCounts()
+    rows = observed(df, rules, name)
+    spark.streams.addListener(told)
+    try:
+        query = append(rows, path, checkpoint)
+        query.awaitTermination()
+        told.settled(query, name)
+    finally:
+        spark.streams.removeListener(told)
+    nothing = {"rows_in": 0, "rows_quarantined": 0, **{f"v{i}": 0 for i in range(len(rules))}}
+    kept = spark.read.schema(rows.schema).parquet(path).where(~F.col(QUARANTINED)).drop(BROKEN, QUARANTINED)
+    return kept, count_rows(spark, name, rules, told.total(name) or nothing)
 
 
 def ingest(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
