@@ -290,3 +290,7 @@ CHECKS["recdata_missing_products"] = """
 select order_status, count(*) as orders, count(customer_id) as with_customer, count(*) - count(customer_id) as without_customer
 from silver_orders where product_id is null group by order_status"""
 CHECKS["recdata_date_range"] = "select min(order_date) as earliest, max(order_date) as latest from purchases"
+
+CHECKS["profile_amounts_by_product"] = union(
+    f"select product_id, _source, count(order_amount) as n, {p}::double as prob, round(quantile_cont(order_amount, {p}), 6) as order_amount "
+    "from silver_orders where order_amount is not null group by product_id, _source" for p in (0.25, 0.5, 0.75, 1.0))

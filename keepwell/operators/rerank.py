@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwell.functions import exact
-from keepwell.functions.ordering import quantiles
+from keepwell.functions.ordering import grouped_quantiles, quantiles
 from keepwell.operators import recommend
 from keepwell.operators.segments import AT_RISK, CHAMPIONS, LOYAL
 
@@ -101,10 +101,10 @@ def multiplier_summary(weighted: DataFrame, by: str) -> DataFrame:
 
 
 def group_medians(weighted: DataFrame, by: str, values: list[str]) -> DataFrame:
-    """Exact median multiplier of each of the known groups (three segments, four priorities)."""
-    medians = {v: quantiles(weighted.where(F.col(by) == v), "rfmq_weight", [0.5])[0] for v in values}
-    return weighted.sparkSession.createDataFrame(
-        [(by, v, None if m is None else round(m, 6)) for v, m in medians.items()], "grouped_by string, group_name string, median_weight double")
+    """Exact median multiplier of each listed group, all groups in the same passes; null where a group is empty."""
+    medians = grouped_quantiles(weighted, [by], "rfmq_weight", [0.5]).select(F.col(by).alias("group_name"), F.round("value", 6).alias("median_weight"))
+    listed = weighted.sparkSession.createDataFrame([(by, v) for v in values], "grouped_by string, group_name string")
+    return listed.join(medians, "group_name", "left").select("grouped_by", "group_name", "median_weight")
 
 
 def matrix_weight(segment: Column, priority: Column) -> Column:

@@ -31,6 +31,7 @@ for _name in ("dim_date", *gold.TABLES):
 # ---------------------------------------------------------------- data quality and profiling
 from pyspark.sql import functions as F  # noqa: E402
 
+from keepwell.functions.ordering import grouped_quantiles  # noqa: E402
 from keepwell.functions.parsing import is_ghost  # noqa: E402
 from keepwell.operators import features as feat  # noqa: E402
 from keepwell.operators import interactions as inter  # noqa: E402
@@ -123,6 +124,8 @@ def _coverage(lake):
 query("profile_monthly_orders")(lambda lake: prof.monthly_orders(lake.table("orders")))
 query("profile_rfm_summary")(lambda lake: prof.summary(lake.rfm(), RFM))
 query("profile_spend_percentiles")(lambda lake: prof.percentiles(lake.rfm(), "total_spent"))
+query("profile_amounts_by_product")(lambda lake: grouped_quantiles(lake.table("orders"), ["product_id", "_source"], "order_amount", [0.25, 0.5, 0.75, 1.0]).select(
+    "product_id", "_source", "n", "prob", F.round("value", 6).alias("order_amount")))
 query("profile_skewness")(lambda lake: prof.sample_skewness(lake.rfm(), RFM))
 query("profile_correlation")(lambda lake: prof.correlations(lake.rfm(), RFM))
 query("profile_spend_share")(lambda lake: prof.share_under(lake.rfm(), "total_spent", 1_000_000.0))
