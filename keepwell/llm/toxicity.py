@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -47,7 +47,7 @@ REPORTS = ("said says say called calls wrote writes claimed reported quoted quot
 
 _WORD = re.compile(r"[^\W\d_]+|[\"“”„«»]")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
-WIDEST_CLAUSE = 400  #: characters of context read on each side of a hit; the hit itself is never left out
+_ENDS = ".!?;:\n"
 
 
 class Transducer(NamedTuple):
@@ -68,16 +68,17 @@ AIMED = Transducer("open", {("open", "target"): "aimed"}, {"aimed": 1.1})
 GRAMMAR = (NEGATED, REPORTED, AIMED)
 
 
-def run_clause(kinds: list[tuple[str, str, float]], grammar: tuple[Transducer, ...] = GRAMMAR) -> dict[str, float]:
-    """Scores of the insults and threats of one clause, read as (class, entry, weight), by the composed transducers."""
-    states, found = [t.start for t in grammar], {}
-    aimed = any(kind == "target" for kind, _, _ in kinds)
+def run_clause(kinds: Iterable[tuple[str, str, float]], grammar: tuple[Transducer, ...] = GRAMMAR) -> dict[str, float]:
+    """Scores of the insults and threats of one clause, read once as (class, entry, weight), by the composed transducers. What is
+    kept are their states and the entries found, so a clause may have any length. Threats count where the clause has a target."""
+    states, found, threats, aimed = [t.start for t in grammar], {}, {}, False
     for kind, entry, weight in kinds:
-        if kind == "insult" or kind == "threat" and aimed:
-            worth = weight * math.prod(t.factors.get(s, 1.0) for t, s in zip(grammar, states, strict=True))
-            found[entry] = max(found.get(entry, 0.0), worth)
+        if kind in ("insult", "threat"):
+            worth, into = weight * math.prod(t.factors.get(s, 1.0) for t, s in zip(grammar, states, strict=True)), found if kind == "insult" else threats
+            into[entry] = max(into.get(entry, 0.0), worth)
+        aimed = aimed or kind == "target"
         states = [t.step(s, kind) for t, s in zip(grammar, states, strict=True)]
-    return found
+    return found | {entry: max(worth, found.get(entry, 0.0)) for entry, worth in threats.items()} if aimed else found
 
 
 class Model(NamedTuple):
@@ -107,17 +108,15 @@ class Scorer:
     def evidence(self, text: str | None) -> float:
         if not text:
             return 0.0
-        text, best, done = text.lower(), {}, -1
+        text, best, done = text.lower(), {}, 0
         for last, length in self.spotted.iter(text):
             start = last - length + 1
             if start < done or start and (text[start - 1].isalpha()):
                 continue
-            low = max(0, start - WIDEST_CLAUSE)
-            for m in _CLAUSE_END.finditer(text, low, start):
-                low = m.end()
-            stop = _CLAUSE_END.search(text, last + 1, last + 1 + WIDEST_CLAUSE)
-            done = stop.start() if stop else min(len(text), last + 1 + WIDEST_CLAUSE)
-            for entry, worth in run_clause([self._kind(w) for w in _WORD.findall(text, low, done)]).items():
+            low = max(done, *(text.rfind(end, done, start) + 1 for end in _ENDS))
+            stop = _CLAUSE_END.search(text, last + 1)
+            done = stop.start() if stop else len(text)
+            for entry, worth in run_clause(self._kind(m[0]) for m in _WORD.finditer(text, low, done)).items():
                 best[entry] = max(best.get(entry, 0.0), worth)
         return sum(best.values())
 
