@@ -8,8 +8,11 @@ over the sources ordered by the level at which each is full. A document's rate i
 The Bernoulli draw compares a hash of seed, id and text with the fraction. Of SEEDS fixed seeds, each source uses the one
 whose draws bring its taken words nearest to its target: still one draw per document, and reruns agree.
 
-Null or empty texts have size 0 and are taken as often as any other text of the source. Repeated rows draw alike.
-Sources without words have target 0 and rate 0. An empty table gives none.
+Null or empty texts have size 0 and are taken as often as any other text of the source. Repeated rows draw alike, and so do
+rows with equal id and text; sources that are equally far from full go by code point. The choice among seeds is made for a source
+as a whole: a document's own chance to be copied stays the fraction up to what one draw in SEEDS can shift. A text of any
+length is one row and is never cut. Sources without words have target 0 and rate 0. An empty table gives none. Columns with
+names that are used here stay what they are.
 """
 
 from __future__ import annotations
@@ -90,8 +93,10 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """`docs`, each row as often as the mix takes it, its copies numbered from 0 in `copy_no`. Texts don't move."""
-    per_source = plan(sizes(docs, id_col, text_col, source_col)).select(F.col("source").alias("_source"), "rate", "seed")
-    met = docs.join(per_source, F.col(source_col).eqNullSafe(F.col("_source")))
-    taken = met.withColumn("_times", copies(digest(id_col, text_col))).where("_times > 0")
-    return taken.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col("_times").cast("int") - 1)).alias("copy_no"))
+    """`docs`, each row as often as the mix takes it, its copies numbered from 0 in `copy_no`. Texts don't move. Columns of `docs` may
+    have any name; one named `copy_no` is replaced."""
+    kept = [c for c in docs.columns if c != "copy_no"]
+    per_source = plan(sizes(docs, id_col, text_col, source_col)).select("source", "rate", "seed").alias("s")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(source_col).alias("source"), digest(id_col, text_col).alias("key")).alias("d")
+    taken = rows.join(per_source, _same("d", "s")).withColumn("times", copies(F.col("key"))).where("times > 0")
+    return taken.select("row.*", F.explode(F.sequence(F.lit(0), F.col("times").cast("int") - 1)).alias("copy_no"))
