@@ -11,8 +11,13 @@ No bucket is expanded into all its pairs. Texts with the same set form one class
 compared with the smallest one; then only classes that are still in different components are compared, in blocks of bounded
 size. Signatures decide which rows of a block need their texts; what a block returns is a spanning forest of its links.
 
-Nulls: a null text is an empty one; an empty set links with nothing. A null id gets a null component and is kept.
-Repeated ids count as one document with the larger component's copy linked through either text.
+Classes are told by their sets, never by an id: an id with several texts is one document in all their classes, linked through
+each of them, and which one confirms a link does not depend on the order of rows.
+
+Nulls: a null text is an empty one; an empty set links with nothing. A null id gets a null component and is kept. Repeated
+rows are one document. A very long text is hashed in one task, a slice of a batch at a time, and only its row of numbers
+moves until it has to confirm a link. An empty table gives no rows. Only the two named columns are read, so others may
+have any name.
 """
 
 from __future__ import annotations
@@ -88,16 +93,21 @@ def _sign(k: int):
                     sig, bands = signatures(held)
                     per_sig[full], per_band[full] = sig.shape[1], bands.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(sets)), pa.array(n), pa.array(signed(sums)), pa.array(signed(other)),
+                    [batch.column(0).slice(row, len(sets)), batch.column(2).slice(row, len(sets)), pa.array(n), pa.array(signed(sums)), pa.array(signed(other)),
                      list_column(signed(sig.ravel()), np.concatenate([[0], np.cumsum(per_sig)]), pa.int64()),
                      list_column(signed(bands.ravel()), np.concatenate([[0], np.cumsum(per_band)]), pa.int64())],
-                    names=["id", "n", "set_a", "set_b", "sig", "bands"])
+                    names=["id", "digest", "n", "set_a", "set_b", "sig", "bands"])
     return run
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _sign(words), "id long, n long, set_a long, set_b long, sig array<long>, bands array<long>")
+    return _digested(docs, id_col, text_col).mapInArrow(
+        _sign(words), "id long, digest string, n long, set_a long, set_b long, sig array<long>, bands array<long>")
+
+
+def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, digest): the digest tells an id's texts apart."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.md5(F.col(text_col)).alias("digest"))
 
 
 def least_lanes(threshold: float) -> int:
@@ -281,18 +291,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
     """(id, n_shingles, component_id, kept) for every row of `docs`; see the module's docstring."""
     percent = round(threshold * 100)
     signed_docs = stored(sign(docs, id_col, text_col, words), "minhash-signed")
-    sets = (signed_docs.where("n > 0 and id is not null").groupBy("set_a", "set_b", "n")
-            .agg(F.min("id").alias("first"), F.max("id").alias("last")))
-    sets = stored(sets, "minhash-classes")
-    classes = signed_docs.join(sets.select(F.col("first").alias("id"), "set_a", "set_b", "n"), ["id", "set_a", "set_b", "n"], "left_semi")
-    classes = stored(classes.dropDuplicates(["id", "set_a", "set_b"]).select("id", "n", "sig", "bands"), "minhash-representatives")
+    held = signed_docs.where("n > 0 and id is not null")
+    sets = held.groupBy("set_a", "set_b", "n").agg(F.min(F.struct("id", "digest")).alias("one"), F.max("id").alias("last"))
+    # a class has a number of its own, given when it is written
+    sets = stored(sets.select(F.monotonically_increasing_id().alias("class"), "set_a", "set_b", "n", F.col("one.id").alias("first"),
+                              F.col("one.digest").alias("digest"), "last"), "minhash-classes")
+    classes = held.join(sets.select("class", "set_a", "set_b", "n", F.col("first").alias("id"), "digest"), ["id", "digest", "set_a", "set_b", "n"])
+    classes = stored(classes.dropDuplicates(["class"]).select(F.col("class").alias("id"), "n", "sig", "bands"), "minhash-representatives")
 
     keyed = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
     members = stored(keyed.join(shared, "key"), "minhash-members")
-    in_bucket = members.select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = stored(texts.join(in_bucket, "id", "left_semi").dropDuplicates(["id"]), "minhash-texts")
+    in_bucket = members.select(F.col("id").alias("class")).distinct().join(sets, "class").select("class", F.col("first").alias("id"), "digest")
+    texts = _digested(docs, id_col, text_col).join(in_bucket, ["id", "digest"])
+    texts = stored(texts.dropDuplicates(["class"]).select(F.col("class").alias("id"), "text"), "minhash-texts")
 
     signature = classes.select("id", "n", "sig")
     hubs = (members.where("id != hub").select("hub", "id").distinct()
@@ -305,10 +317,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_
 
     component = connected_components(links)
     more = stored(cross_links(members.select("key", "band", "id"), classes, component, texts, words, threshold, percent), "minhash-cross-links")
-    component = connected_components(links.unionByName(more))
-
-    placed = (sets.join(component.withColumnRenamed("id", "first"), "first", "left")
-              .where("component is not null or first < last")
+    # an id with several texts ties their classes together
+    several = held.groupBy("id").agg(F.min(F.struct("set_a", "set_b", "n")).alias("a"), F.max(F.struct("set_a", "set_b", "n")).alias("z")).where("a != z")
+    of_several = held.join(several.select("id"), "id", "left_semi").select("id", "set_a", "set_b", "n").distinct().join(
+        sets.select("class", "set_a", "set_b", "n"), ["set_a", "set_b", "n"])
+    tied = stored(of_several.join(of_several.groupBy("id").agg(F.min("class").alias("a")), "id").where("a != class").select("a", F.col("class").alias("b")), "minhash-tied")
+    component = connected_components(links.unionByName(more).unionByName(tied))
+
+    placed = sets.join(component.withColumnRenamed("id", "class"), "class", "left").withColumn("group", F.coalesce("component", "class"))
+    lowest = placed.where("component is not null").groupBy("group").agg(F.min("first").alias("component"))
+    placed = (placed.drop("component").join(lowest, "group", "left").where("component is not null or first < last")
               .select("set_a", "set_b", "n", F.coalesce("component", "first").alias("component")))
     out = signed_docs.select("id", "n", "set_a", "set_b").join(placed, ["set_a", "set_b", "n"], "left")
     component_id = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
