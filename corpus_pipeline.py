@@ -20,12 +20,26 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return toxicity.with_score(docs, model, score_col="_score").where("_score < 0.5").drop("_score")
 
 
+def numbered_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs`, written with a number per row, and the name of that column: ids may be null or repeat, these may not."""
+    number = "row_number"
+    while number in docs.columns:
+        number += "_"
+    return stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered-documents"), number
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates (five-word shingles, similarity 0.8)."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, threshold=0.8)
-    gone = found.where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    # a repeated id is repeated text or a conflict; its first row in value order stays
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8): the one with the smallest id.
+
+    Rows are told by a number of their own: a row without an id is a document like any other, of rows that repeat an id and a
+    text one stays, and rows that share an id but not a text are judged by their own texts. A row with an id stays before one without."""
+    rows, number = numbered_rows(docs)
+    found = minhash.near_duplicates(rows, words=5, threshold=0.8, id_col=number).select(F.col("id").alias(number), "component_id", "n_shingles")
+    alone = F.when(F.col("doc_id").isNotNull(), F.concat_ws(":", F.lit("text"), "doc_id", F.md5("text"))).otherwise(F.concat_ws(":", F.lit("row"), number))
+    group = F.when(F.col("n_shingles") > 0, F.concat_ws(":", F.lit("group"), "component_id")).otherwise(alone)  # no words: no near duplicate
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", number)).alias("first")
+    kept = rows.select(number, "doc_id", "text").join(found, number).groupBy(group.alias("group")).agg(first).select(f"first.{number}")
+    return rows.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +51,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain a ten-word window (or the whole, if shorter) of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontamination.contamination(docs.select("doc_id", "text"), benchmark)
-    gone = found.where("n_hit > 0").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows, number = numbered_rows(docs)
+    found = decontamination.contamination(rows.select(number, "text"), benchmark, id_col=number)
+    gone = found.where("n_hit > 0").select(F.col("id").alias(number))
+    return rows.join(gone, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
