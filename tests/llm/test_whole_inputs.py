@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from keepwell.llm import chat, minhash, mixing, toxicity
+import corpus_pipeline
+from keepwell.llm import minhash, mixing, toxicity
+from keepwell.session import scratch_path
 
 
 # ---------------------------------------------------------------- 10
@@ -70,3 +73,68 @@ def test_mixing_keeps_columns_of_any_name(spark):
     for r in got:
         counted.setdefault(r.doc_id, []).append(r.copy_no)
     assert {i: sorted(n) for i, n in counted.items()} == {i: list(range(n)) for i, n in times.items()}
+
+
+# ---------------------------------------------------------------- 6
+def prose(seed, n=120):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+
+
+def changed(words, *places):
+    return " ".join("new" if i in places else w for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_an_id_with_two_texts_is_linked_through_either(spark, turn):
+    one, two = prose(1), prose(2)
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, changed(one, 60)), (3, changed(two, 60)), (3, changed(two, 60)), (4, " ".join(prose(3))),
+            (None, " ".join(one)), (6, None), (7, "")][::turn]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.id, r.component_id, r.kept) for r in minhash.near_duplicates(docs.repartition(3), words=4).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (None, None, True), (6, 6, True), (7, 7, True)}
+
+
+def test_columns_of_the_operator_in_the_table(spark):
+    kind = "doc_id long, text string, id int, digest string, number int, class int, n int, first int, component int"
+    docs = spark.createDataFrame([(i, " ".join(prose(i % 2)), 1, "d", 2, 3, 4, 5, 6) for i in range(6)], kind)
+    assert {(r.id, r.component_id) for r in minhash.near_duplicates(docs).collect()} == {(i, i % 2) for i in range(6)}
+
+
+# ---------------------------------------------------------------- pipeline
+def stage(spark, name, rows, benchmark=()):
+    path = scratch_path(spark, "stage-edges")
+    spark.createDataFrame(list(benchmark), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or ""), 0.5, 9) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, rate double, row_number int")
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, path)
+    assert out.columns[:7] == docs.columns
+    return sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=str)
+
+
+def test_contaminated_rows_go_whatever_their_id(spark):
+    item, clean = " ".join(prose(5, 30)), " ".join(prose(6))
+    leaked = f"{clean} {item}"
+    rows = [(None, leaked, "a"), (None, clean, "a"), (1, leaked, "a"), (1, clean, "b"), (2, clean, "a"), (2, clean, "a"), (3, None, "a"), (None, None, None), (4, "", "a")]
+    got = stage(spark, "benchmark decontamination", rows, [(0, item)])
+    assert got == sorted(((i, t, s) for i, t, s in rows if t != leaked), key=str)
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    text, other = " ".join(prose(7)), " ".join(prose(8))
+    rows = [(None, text, "a"), (None, text, "b"), (5, text, "c"), (3, changed(prose(7), 60), "d"),  # one group: 3 stays
+            (None, other, "a"), (None, other, "b"),  # one group without ids: one stays
+            (8, "", "a"), (8, "", "b"), (None, "", "a"), (None, "", "b"), (None, None, "a"), (9, None, "a")]
+    got = stage(spark, "minhash near-dedup", rows)
+    named = [r for r in got if r[1]]
+    assert [r for r in named if r[1] != other] == [(3, changed(prose(7), 60), "d")]
+    assert len([r for r in named if r[1] == other]) == 1
+    blank = [(i, t) for i, t, _ in got if not t]
+    assert sorted(blank, key=str) == sorted([(8, ""), (None, ""), (None, ""), (None, None), (9, None)], key=str)
+
+
+def test_repeated_rows_and_nulls_pass_every_stage(spark):
+    rows = [(i % 4 if i % 5 else None, " ".join(prose(i // 2, 30)) if i % 3 else None, None if i % 2 else "s") for i in range(40)] * 2
+    for name, _ in corpus_pipeline.STAGES:
+        assert set(stage(spark, name, rows)) <= set(rows)
