@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keepwell.llm import minhash, mixing, toxicity
+from keepwell.llm import minhash, mixing, tokens, toxicity
 from keepwell.session import scratch_path
 
 
@@ -138,3 +138,42 @@ def test_repeated_rows_and_nulls_pass_every_stage(spark):
     rows = [(i % 4 if i % 5 else None, " ".join(prose(i // 2, 30)) if i % 3 else None, None if i % 2 else "s") for i in range(40)] * 2
     for name, _ in corpus_pipeline.STAGES:
         assert set(stage(spark, name, rows)) <= set(rows)
+
+
+# ---------------------------------------------------------------- 9
+SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyz", "greek": "αβγδεζηθικλμνξοπρστυφχψωςΣ", "thai": "กขคงจฉชดตถทนบปผพฟมยรลวสหอะาิีึืุูเแโใไ่้", "arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+           "hindi": "कखगघचछजटठडतथदधनपबमयरलवशसहािीुूेैोौ्", "han": "的一是不了在人有我他这中大来上国", "hangul": "가나다라마\u1100\u1161\u11a8", "marks": "-=!#.,'’“",
+           "blank": "a\u3000\xa0\x85\x1cB'é\u0301İ漢1ſŉß",
+           "mixed": "aB9é-'sštREveLlmd漢<|>.,!İǅ\u0301\u0323eo😀ßΣσÅK"}
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return tokens.Counter(tokens.VOCABULARY)
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_every_prefix_is_counted_as_the_library_counts_it(counter, script):
+    rng = random.Random(script)
+    for i in range(60):
+        piece = "".join(rng.choices(SCRIPTS[script], k=rng.randint(1, 40))) + rng.choice(["", "", "<|endoftext|>", "<|endoftext", "<|startoftext|>-"]) + rng.choice(SCRIPTS[script])
+        want = [counter._count(piece[:k]) for k in range(1, len(piece) + 1)]
+        assert counter.prefix_counts(piece).tolist() == want, piece
+        limit = rng.randint(0, 12)
+        assert counter.longest_within(piece, limit) == max((k for k, n in enumerate([0, *want]) if n <= limit)), (piece, limit)
+
+
+@pytest.mark.parametrize("piece", [*(s * (1_000_000 // len(s)) for s in SCRIPTS.values()), "x" * 1_000_000, "İ" * 500_000, "a'" * 500_000, "<|endoftext|>" * 70_000])
+def test_unspaced_text_of_a_million_characters(counter, piece):
+    start = time.time()
+    end = counter.longest_within(piece, 2048)
+    assert time.time() - start < 20
+    assert counter._count(piece[:end]) <= 2048 < min(counter._count(piece[:k]) for k in range(end + 1, end + 20))
+
+
+def test_the_table_of_unspaced_texts(spark):
+    texts = ["".join(random.Random(s).choices(s, k=30_000)) for s in SCRIPTS.values()]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in tokens.token_prefixes(rows, limits=(100, 2048), keep=False).collect():
+        assert [tokens.Counter(tokens.VOCABULARY)._count(texts[r.id][:n]) <= limit for n, limit in zip(r.fits, (100, 2048), strict=True)] == [True, True]
+        assert all(0 < n <= 30_000 for n in r.fits)
