@@ -1,11 +1,12 @@
 """Row expectations: warn (count), drop (count and set aside) or fail (stop).
 
-Counts are gathered by `observe` while the rows flow to their sink, so checking costs no pass of
-its own. A rule that evaluates to null is violated.
+A rule that evaluates to null is violated.
 
 `write_checked` writes a table once with all its rows: those that break a dropping rule go to the quarantine partition, every row
 carries the names of the rules it breaks, and the counts are kept in a table beside it. A row that breaks a failing rule
-stops the write; nothing is committed then. `RuleCounts` gathers the same counts from running streams.
+stops the write; nothing is committed then. The counts are taken from the rows as written, by one scan of the columns that the
+rules name: an `Observation` would save that scan, but once a session has held one, fitted models that refer to the
+session can't be sent to tasks any more. Streams have sessions of their own; `RuleCounts` gathers what `observe` counts there.
 """
 
 from __future__ import annotations
@@ -133,33 +134,32 @@ class Checked:
 
 
 def write_checked(df: DataFrame, rules: Iterable[Rule], path: str, table: str, days: Iterable[str] = ()) -> Checked:
-    """Write `df` to `path` with its rules applied and counted in the same pass, and the counts and extents of `days` beside it.
+    """Write `df` to `path` with its rules applied, and their counts and the extents of `days` beside it.
 
-    The counts are written last: a table without them was not finished. Counting happens in the stage that writes, where
-    a task's counts enter once, whichever attempt succeeds.
+    The counts are written last: a table without them was not finished.
     """
     rules, days, spark = list(rules), list(days), df.sparkSession
     kept = [F.when(~F.col(QUARANTINED), F.col(c).cast("date")) for c in days]
     ends = [e for i, c in enumerate(kept) for e in (F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]
-    seen = Observation()
     rows = marked(enforce(df, rules), rules)
     try:
-        rows.observe(seen, *counters(rules), *ends).write.mode("overwrite").partitionBy(QUARANTINED).parquet(f"{path}/rows")
+        rows.write.mode("overwrite").partitionBy(QUARANTINED).parquet(f"{path}/rows")
     except Exception as error:
         if "expectation failed: " in str(error):
             name = str(error).split("expectation failed: ")[1].split()[0].strip("'\"[]().,;")
             raise ExpectationFailed(f"{table} not written, violated: {name}") from error
         raise
-    counts = seen.get
+    written = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    counts = written.agg(*counters(rules), *ends).first().asDict()
     extents = [(table, c, counts[f"lo{i}"], counts[f"hi{i}"]) for i, c in enumerate(days)]
     spark.createDataFrame(extents, EXTENTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/extents")
     count_rows(spark, table, rules, counts).coalesce(1).write.mode("overwrite").parquet(f"{path}/counts")
-    return Checked(spark.read.schema(rows.schema).parquet(f"{path}/rows"), spark.read.schema(COUNTS).parquet(f"{path}/counts"),
+    return Checked(written, spark.read.schema(COUNTS).parquet(f"{path}/counts"),
                    spark.read.schema(EXTENTS).parquet(f"{path}/extents"))
 
 
 def conservation(checked: dict[str, Checked]) -> DataFrame:
-    """Per table: rows counted on the way in, rows found in the two partitions afterwards, and whether they agree."""
+    """Per table: rows in, as counted when it was written, rows found in the two partitions now, and whether they agree."""
     parts = []
     for table, c in checked.items():
         found = c.rows.agg(F.count_if(~F.col(QUARANTINED)).alias("rows_kept"), F.count_if(QUARANTINED).alias("rows_quarantined"))
