@@ -28,7 +28,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 
 #: fixed values: element names of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object select".split())
+RAW = frozenset("script style title textarea noscript template iframe svg object select".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
                   "h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 ENDS_PARAGRAPH = BLOCK - frozenset("body html li dd dt tbody td tfoot th thead tr summary".split())
@@ -41,7 +41,8 @@ NAMED = frozenset("ad ads adv advert adverts advertisement advertising banner sp
                   "alert popup modal overlay newsletter subscribe subscription sidebar side nav navbar navigation menu breadcrumb breadcrumbs "
                   "footer header masthead topbar comment comments commentlist disqus replies share sharing social related recommended widget "
                   "pagination pager login signup search toolbar skip".split())
-NEVER = frozenset("html body article main".split())
+#: the page, its article and headings stay whatever they are called
+NEVER = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 
 
 class Page:
@@ -49,13 +50,15 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.name, self.out, self.own, self.links = [-1], ["#"], [False], [0], [0]
+        self.container = [0]  # the nearest block above: inline markup doesn't come between a block and its parts
+        self.stack, self.depths = [0], {}  # open nodes, and their depths by name
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
         self.block = 0
         self._read(source)
 
     def _open(self, name: str, attributes: str, at: int) -> int:
         known = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes and name not in NEVER and not self.out[at] else {}
-        left_out = self.out[at] or name in LEFT_OUT or name == "header" and not self._inside(at, ("article", "main"))
+        left_out = self.out[at] or name in LEFT_OUT or name == "header" and not self._deepest(("article", "main"))
         if known and not left_out:
             words = set(re.split(r"[^a-z]+", " ".join(known.get(k, "") for k in ("class", "id", "role")).lower()))
             left_out = bool(words & NAMED) and not words & {"with", "has", "no"} or "hidden" in known or known.get("aria-hidden") == "true" \
@@ -65,14 +68,21 @@ class Page:
         self.out.append(left_out)
         self.own.append(0)
         self.links.append(0)
+        self.container.append(at if at == 0 or self.name[at] in BLOCK else self.container[at])
         return len(self.parent) - 1
 
-    def _inside(self, at: int, names: tuple[str, ...]) -> bool:
-        while at > 0:
-            if self.name[at] in names:
-                return True
-            at = self.parent[at]
-        return False
+    def _deepest(self, names) -> int:
+        """Depth of the innermost open element of these names, 0 if none is open."""
+        return max((self.depths[x][-1] for x in names if self.depths.get(x)), default=0)
+
+    def _push(self, node: int) -> None:
+        self.depths.setdefault(self.name[node], []).append(len(self.stack))
+        self.stack.append(node)
+
+    def _pop(self, depth: int) -> None:
+        for node in self.stack[depth:]:
+            self.depths[self.name[node]].pop()
+        del self.stack[depth:]
 
     def _text(self, text: str, at: int) -> None:
         if text and not self.out[at]:
@@ -82,7 +92,7 @@ class Page:
             self.own[at] += len(text) - text.count(" ")
 
     def _read(self, source: str) -> None:
-        stack, position, end = [0], 0, len(source)
+        stack, position, end = self.stack, 0, len(source)
         while position < end:
             m = _MARKUP.search(source, position)
             if m is None:
@@ -95,15 +105,13 @@ class Page:
             if name in BLOCK:
                 self.block += 1
             if m["close"]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.name[stack[depth]] == name:
-                        del stack[depth:]
-                        break
+                if depth := self._deepest((name,)):
+                    self._pop(depth)
                 continue
             if name in ENDS_PARAGRAPH:
-                self._close(stack, {"p"}, {"button", "td", "th", "article", "section", "div", "li", "blockquote"})
+                self._close({"p"}, {"button", "td", "th", "article", "section", "div", "li", "blockquote"})
             if name in IMPLIED:
-                self._close(stack, *IMPLIED[name])
+                self._close(*IMPLIED[name])
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, position)
                 position = close.end() if close else end
@@ -112,23 +120,12 @@ class Page:
                 self._text(" ", stack[-1])
             node = self._open(name, m["attributes"], stack[-1])
             if name not in VOID and not m["attributes"].endswith("/"):
-                stack.append(node)
-
-    def _close(self, stack: list[int], names: set[str], bounds: set[str]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            here = self.name[stack[depth]]
-            if here in names:
-                del stack[depth:]
-                return
-            if here in bounds:
-                return
-
-    def _container(self, i: int) -> int:
-        """The nearest block above: inline markup doesn't come between a block and its parts."""
-        i = self.parent[i]
-        while i > 0 and self.name[i] not in BLOCK:
-            i = self.parent[i]
-        return i
+                self._push(node)
+
+    def _close(self, names: set[str], bounds: set[str]) -> None:
+        depth = self._deepest(names)
+        if depth and depth >= self._deepest(bounds):
+            self._pop(depth)
 
     def densities(self) -> tuple[list[float], list[float], int]:
         """Density and density sum of each node, and the body's number."""
@@ -160,7 +157,7 @@ class Page:
         total = [0.0] * n
         for i in range(1, n):
             if self.name[i] in BLOCK:
-                total[self._container(i)] += density[i]
+                total[self.container[i]] += density[i]
         return density, total, body
 
     def article(self) -> str:
