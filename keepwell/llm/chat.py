@@ -1,19 +1,23 @@
 """Chat formatting in DataFrame functions: layouts by schema fingerprint, one canonical form, one reversible template.
 
-A layout is known by the set of its nested field paths. The paths a table (or each JSON record) has, as far as any mapping
-names them, are sorted, joined and hashed; the hash selects a declarative mapping into canonical turns (role, text). Further
-fields change nothing. A layout without a mapping raises for a table and gives no turns for a record.
+A layout is known by its nested field paths. The paths of a mapping, sorted, joined and hashed, are its fingerprint. A table or
+JSON record takes the mapping with most paths among those whose paths it has all, in their listed order where several are equally
+wide, so further fields change nothing, also those that other mappings name. A list has a path if any of its elements has it.
+`shape` is the hash of the whole nested schema of a record, whatever mapping it takes. A layout without a mapping raises for a
+table and gives no turns for a record, as do text that is no JSON and lists without a role or without a text.
 
 Template of a turn: `[role]text</s>`. In roles and texts `&`, `<`, `[` and `]` are written as `&amp;`, `&lt;`, `&lb;` and
 `&rb;`, so none of the control strings can occur inside a text, and unescaping gives every text back.
 
 Null roles and texts are empty strings. Turns sort by order value (null first), then role, then text; repeated rows are
-repeated turns. A null conversation id is one conversation. A table without rows gives none.
+repeated turns. A null conversation id is one conversation. A table without rows gives none. A conversation is one string, so it
+must be under 2 GB; very long texts are kept whole. Further columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +38,7 @@ RECORD_LAYOUTS = (
     {"list": "turns", "role": "speaker", "text": "utterance"},
     {"turns": (("user", "prompt"), ("assistant", "completion"))},
     {"turns": (("user", "prompt"), ("assistant", "response"))},
+    {"turns": (("system", "system"), ("user", "prompt"), ("assistant", "completion"))},
     {"turns": (("system", "system"), ("user", "prompt"), ("assistant", "response"))},
     {"turns": (("user", "instruction"), ("assistant", "output"))},
     {"turns": (("user", "instruction"), ("user", "input"), ("assistant", "output"))},
@@ -88,26 +93,31 @@ def _listed_turn(layout: dict):
 
 
 def turns_of_records(records: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(conversation, fingerprint, turns) of JSON records of mixed layouts; turns is null where no mapping fits."""
-    value = F.try_parse_json(F.col(json_col))
-    parsed = records.select(F.col(id_col).alias("conversation"), value.alias("v"))
-    vocabulary = sorted(set().union(*map(_record_paths, RECORD_LAYOUTS)))
-
-    def got(path: str) -> Column:
-        return F.try_variant_get("v", "$." + path.replace("[]", "[0]"), "string")
-
-    # an empty optional field is as good as none
-    present = F.array_compact(F.array(*[F.when(got(p).isNotNull(), F.lit(p)) for p in vocabulary]))
-    marked = parsed.withColumn("fingerprint", F.sha2(F.array_join(F.array_sort(present), "\n"), 256))
-    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
-    for mark, layout in RECORD_MAPPINGS.items():
+    """(conversation, shape, fingerprint, turns) of JSON records of mixed layouts; turns is null where no mapping fits, and the
+    fingerprint is that of the mapping taken."""
+    opened = records.select(F.col(id_col).alias("conversation"), F.try_parse_json(F.col(json_col)).alias("v"))
+    lists = {layout["list"]: f"array<struct<`{layout['role']}`:string,`{layout['text']}`:string>>" for layout in RECORD_LAYOUTS if "list" in layout}
+    plain = sorted({path for layout in RECORD_LAYOUTS for _, path in layout.get("turns", ())})
+    fields = opened.select("conversation", F.sha2(F.schema_of_variant("v"), 256).alias("shape"),
+                           F.struct(*[F.try_variant_get("v", f"$.{path}", kind).alias(path) for path, kind in
+                                      (*lists.items(), *((p, "string") for p in plain))]).alias("f"))
+
+    def has(layout: dict) -> Column:
         if "list" in layout:
-            kind = f"array<struct<`{layout['role']}`:string,`{layout['text']}`:string>>"
-            built = F.transform(F.try_variant_get("v", "$." + layout["list"], kind), _listed_turn(layout))
+            parts = [F.exists(F.col("f")[layout["list"]][layout[k]], lambda x: x.isNotNull()) for k in ("role", "text")]
         else:
-            built = F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(got(p), F.lit("")).alias("text")) for r, p in layout["turns"]])
-        turns = F.when(F.col("fingerprint") == mark, built).otherwise(turns)
-    return marked.select("conversation", "fingerprint", turns.alias("turns"))
+            parts = [F.col("f")[path].isNotNull() for _, path in layout["turns"]]
+        return reduce(Column.__and__, parts)
+
+    def built(layout: dict) -> Column:
+        if "list" in layout:
+            return F.transform(F.col("f")[layout["list"]], _listed_turn(layout))
+        return F.array(*[F.struct(F.lit(role).alias("role"), F.col("f")[path].alias("text")) for role, path in layout["turns"]])
+
+    widest_first = sorted(RECORD_MAPPINGS.items(), key=lambda entry: -len(_record_paths(entry[1])))
+    mark = F.coalesce(*[F.when(has(layout), F.lit(mark)) for mark, layout in widest_first])
+    turns = F.coalesce(*[F.when(F.col("fingerprint") == mark, built(layout)) for mark, layout in widest_first])
+    return fields.withColumn("fingerprint", mark).select("conversation", "shape", "fingerprint", turns.alias("turns"))
 
 
 def escaped(text: Column) -> Column:
