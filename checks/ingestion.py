@@ -61,3 +61,29 @@ CHECKS["ingest_rule_counts"] = union(
     f"""select '{t}' as table_name, count(*) as rows_in, count(*) filter (where {cut}) as rows_quarantined, '{rule}' as rule, '{action}' as action,
   count(*) filter (where {cut} or {test}) as violations, count(*) filter (where not {cut}) as rows_kept from raw_{t} where _source = 'live_events'"""
     for t, cut in _CUT.items() for rule, action, test in (("readable", "drop", "false"), ("has_customer", "warn", "customer_id is null")))
+
+# kinds of text, as bits: int 1, long 2, double 4, date 8, timestamp 16, other 32
+_KIND = r"""case when v is null then null
+  when regexp_full_match(v, '-?(0|[1-9][0-9]{0,17})') then case when abs(try_cast(v as bigint)) <= 2147483647 then 1 else 2 end
+  when regexp_full_match(v, '-?(0|[1-9][0-9]*)(\.[0-9]+([eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)') then 4
+  when regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') and try_cast(v as date) is not null then 8
+  when regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}') and try_cast(v as timestamp) is not null then 16 else 32 end"""
+_JOINED = """case when k is null or k >= 32 or (k & 7 <> 0 and k & 24 <> 0) then 'string' when k & 16 <> 0 then 'timestamp' when k & 8 <> 0 then 'date'
+  when k & 4 <> 0 then 'double' when k & 2 <> 0 then 'bigint' else 'int' end"""
+
+
+def _typed_columns(table: str, names: list[str], where: str = "") -> str:
+    early = f"coalesce(substr(md5(cast({names[0]} as varchar)), 1, 1) < '8', false)"
+    values = {n: f"nullif(cast({n} as varchar), '')" if n != names[-1] else f"case when not {early} then nullif(cast({n} as varchar), '') end" for n in names}
+    return union(f"""select '{table}' as table_name, '{n}' as column_name, {_JOINED} as type, filled from (
+  select bit_or({_KIND}) as k, count(v) as filled from (select {v} as v from raw_{table} {where}))""" for n, v in values.items())
+
+
+CHECKS["ingest_column_types"] = union([
+    *(_typed_columns(t, names.split()) for t, names in _COLUMNS.items()),
+    *(_typed_columns(t, schema.fieldNames(), "where _source = 'history_files'") for t, schema in HISTORY.items())])
+_DAY = "regexp_full_match(payment_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}') and try_cast(payment_date as date) is not null"
+CHECKS["ingest_typed_payments"] = f"""
+select payment_id, order_id, customer_id, payment_method, cast(payment_amount as double) as payment_amount, payment_status, gateway,
+  case when {_DAY} then cast(payment_date as date) end as payment_date, case when not ({_DAY}) then payment_date end as other_date, {_TRUE}
+from raw_payments where _source = 'history_files'"""

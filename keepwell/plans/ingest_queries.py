@@ -92,8 +92,8 @@ def _evolution(lake):
     return files.read_evolving(lake.spark, [first, second])
 
 
-def _evolving(lake, name: str) -> DataFrame:
-    """Two deliveries of a feed: the first lacks its last column, the second has all of them in reverse order."""
+def _evolving(lake, name: str) -> tuple[DataFrame, str]:
+    """Two deliveries of a feed: the first lacks its last column, the second has all of them in reverse order. (rows, path)"""
     base, raw = scratch_path(lake.spark, f"land_evolving_{name}"), lake.raw(name)
     raw = raw.where("_source = 'history_files'").select(*HISTORY[name].fieldNames()) if name in HISTORY else _plain(raw)
     key = raw.columns[0]
@@ -101,11 +101,31 @@ def _evolving(lake, name: str) -> DataFrame:
     _as_csv(raw.where(early).drop(raw.columns[-1]), f"{base}/in/first")
     _as_csv(raw.where(~early).select(*reversed(raw.columns)), f"{base}/in/second")
     options = files.MULTILINE if name == "reviews" else files.CSV
-    return evolving.ingest_evolving(lake.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", options)
+    return evolving.ingest_evolving(lake.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", options), f"{base}/table"
 
 
 for _name in (*FILES_ONLY, *DUAL):
-    query(f"ingest_evolving_{_name}")(lambda lake, n=_name: _traced(_evolving(lake, n)))
+    query(f"ingest_evolving_{_name}")(lambda lake, n=_name: _traced(_evolving(lake, n)[0]))
+
+
+@query("ingest_column_types")
+def _column_types(lake):
+    """The types of every column of every feed, joined over its deliveries."""
+    return files.stacked([evolving.types(lake.spark, _evolving(lake, n)[1]).select(F.lit(n).alias("table_name"), "column_name", "type", "filled")
+                          for n in (*FILES_ONLY, *DUAL)])
+
+
+@query("ingest_typed_payments")
+def _typed(lake):
+    """A delivery of whole amounts, then one with fractions: the column widens. The date is held at its type, other layouts are rescued."""
+    base, raw = scratch_path(lake.spark, "land_typed"), lake.raw("payments").where("_source = 'history_files'").select(*HISTORY["payments"].fieldNames())
+    whole = F.coalesce(F.col("payment_amount").cast("string").rlike("^[0-9]+([.]0*)?$"), F.lit(True))
+    _as_csv(raw.where(whole).withColumn("payment_amount", F.regexp_replace(F.col("payment_amount").cast("string"), "[.]0*$", "")), f"{base}/in/first")
+    evolving.ingest_evolving(lake.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint")
+    _as_csv(raw.where(~whole), f"{base}/in/second")
+    evolving.ingest_evolving(lake.spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint")
+    rows = evolving.typed(lake.spark, f"{base}/table", {"payment_date": "date"})
+    return _traced(rows.withColumn("other_date", F.col(evolving.RESCUED)["payment_date"]).drop(evolving.RESCUED))
 
 
 def _cut_messages(lake, topic: str) -> str:
