@@ -27,6 +27,8 @@ select refund_id, order_id, customer_id, product_id, refund_amount, status, requ
 CHECKS["ingest_master_counts"] = union(f"select '{t}' as table_name, count(*) as rows from raw_{t}"
                                        for t in ("customers", "products", "sellers", "brands", "categories", "warehouses"))
 CHECKS["ingest_incremental_append"] = "select payment_id, payment_amount, payment_date from silver_payments"
+for _t in ("orders", "payments", "shipments", "refunds"):
+    CHECKS[f"ingest_nightly_{_t}"] = f"select * from undropped_{_t}"
 CHECKS["report_alerts_streamed"] = """
 select review_id, i.customer_id, rating, review_date, sentiment, sentiment_score, issues, i.churn_probability, i.churn_risk_band, i.top_churn_reason,
   i.rfm_segment, i.retention_priority, offers from rule_insights i left join (

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.ordering import numbered
-from keepwell.session import stored
+from keepwell.session import finished, stored
 
 # task functions travel with their code, so executors need no copy of this module
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -143,17 +143,11 @@ def in_waves(users: DataFrame, items: DataFrame, user_col: str, item_col: str, p
     wave = F.pmod(F.xxhash64(F.col(user_col).cast("long"), F.lit(1)), F.lit(waves))
     items = stored(items, "items")
     for i in range(waves):
-        if not _finished(spark, f"{path}/wave={i}"):
+        if not finished(spark, f"{path}/wave={i}"):
             searched(users.where(wave == i), items, user_col, item_col, factors, n).write.mode("overwrite").parquet(f"{path}/wave={i}")
     return spark.read.schema(f"{FOUND}, wave int").parquet(path)
 
 
-def _finished(spark, folder: str) -> bool:
-    """Whether a write into `folder` was committed. Spark's committer leaves its marker last."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
-
-
 def best(found: DataFrame) -> DataFrame:
     """(user, item, rank, score)"""
     return found.where("user is not null").select("user", "item", "rank", "score")

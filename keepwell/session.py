@@ -50,3 +50,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def finished(spark, folder: str) -> bool:
+    """Whether a write into `folder` was committed. Spark's committer leaves its marker last."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
