@@ -34,6 +34,10 @@ select review_id, i.customer_id, rating, review_date, sentiment, sentiment_score
   i.rfm_segment, i.retention_priority, offers from rule_insights i left join (
   select customer_id, string_agg(product_id, ', ' order by rfmq_rank) as offers from rule_reranked where rfmq_rank <= 3 group by customer_id) o
   on i.customer_id = o.customer_id where i.rfm_segment = 'Champions' and i.churn_probability >= 0.5 and sentiment = 'negative'"""
+for _p in ("day", "quarter", "year"):
+    CHECKS[f"report_alerts_once_a_{_p}"] = f"""
+select * exclude (n) from (select *, row_number() over (partition by customer_id, date_trunc('{_p}', review_date) order by rating nulls last, review_id) as n
+  from ({CHECKS["report_alerts_streamed"]}) where review_date is not null and customer_id is not null) where n = 1"""
 
 
 def _evolved(table: str, names: list[str], where: str = "") -> str:

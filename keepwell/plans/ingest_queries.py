@@ -13,7 +13,7 @@ from keepwell.plans.registry import query
 from keepwell.session import scratch_path
 from keepwell.sources import files, jdbc
 from keepwell.sources.schemas import DUAL, FILES_ONLY, HISTORY, TOPICS
-from keepwell.streaming import alerts, evolving, ingest
+from keepwell.streaming import alerts, evolving, ingest, once_alerts
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -191,11 +191,26 @@ for _name, _key in (("orders", "order_id"), ("payments", "payment_id"), ("shipme
     query(f"ingest_nightly_{_name}")(lambda lake, n=_name, k=_key: _nights(lake, n, k))
 
 
-@query("report_alerts_streamed")
-def _alerts(lake):
+def _alerting(lake) -> tuple[str, DataFrame]:
     """Reviews arriving as files against the customer tables."""
     base = scratch_path(lake.spark, "alerts")
     lake.table("reviews").write.parquet(f"{base}/in")
     arriving = lake.spark.readStream.schema(lake.table("reviews").schema).parquet(f"{base}/in")
-    found = alerts.alerts(arriving, lake.rule_predictions(), lake.rule_segments(), reports.offers(lake.rule_reranked()))
+    return base, alerts.alerts(arriving, lake.rule_predictions(), lake.rule_segments(), reports.offers(lake.rule_reranked()))
+
+
+@query("report_alerts_streamed")
+def _alerts(lake):
+    base, found = _alerting(lake)
     return ingest.ingest(found, f"{base}/table", f"{base}/checkpoint")
+
+
+def _alerts_once(lake, period: str) -> DataFrame:
+    """One alert per customer and period; all reviews lie in one delivery, so none is late."""
+    base, found = _alerting(lake)
+    once_alerts.run(once_alerts.once(found, period), f"{base}/table", f"{base}/checkpoint")
+    return lake.spark.read.schema(found.schema).parquet(f"{base}/table")
+
+
+for _name in ("day", "quarter", "year"):
+    query(f"report_alerts_once_a_{_name}")(lambda lake, p=_name: _alerts_once(lake, p))
