@@ -245,6 +245,47 @@ select r.review_id, customer_id, product_id, order_id, rating, review_text, revi
   cast(case sentiment when 'positive' then 1 when 'neutral' then 0 when 'negative' then -1 end as integer) as sentiment_label, issues, {_LAST} as scored_date
 from scorable r join replies p on r.review_id = p.review_id""")
 CHECKS["insight_parsed"] = "select * exclude (review_text) from scored"
+# the words that carry sentiment, each language on a line of its own: kept here once more, apart from the operator
+_KINDS = {
+    "stop": ". ! ? ;",
+    "praise": """good great excellent wonderful superb reliable comfortable delighted sturdy pleasant beautiful perfect helpful satisfied
+      gut gute toll ausgezeichnet wunderbar zuverlässig bequem schön perfekt hilfreich zufrieden
+      bon bonne excellente merveilleux fiable confortable agréable parfait utile satisfait
+      bueno buena excelente maravilloso cómodo agradable perfecto útil satisfecho""",
+    "blame": """bad awful horrible useless flimsy faulty defective annoying disappointing ugly worst unacceptable stupid damaged
+      schlecht schlechte furchtbar schrecklich nutzlos defekt kaputt ärgerlich enttäuschend hässlich mangelhaft
+      mauvais mauvaise affreux inutile défectueux cassé décevant laid pénible
+      malo mala terrible inútil defectuoso roto decepcionante feo pésimo""",
+    "negation": "not no never nothing neither cannot hardly nicht kein keine nie niemals pas jamais rien aucun nunca nada tampoco",
+    "strong": "very really extremely absolutely totally sehr wirklich äußerst absolut très vraiment extrêmement muy realmente sumamente",
+    "weak": "slightly somewhat fairly rather etwas ziemlich peu assez algo bastante",
+    "contrast": "but however although aber jedoch obwohl mais cependant pourtant pero aunque sino",
+}
+
+
+def _fold(key: str, text: str, table: str, where: str = "true") -> str:
+    """Places instead of a running state: for every word of praise or blame the last negation, contrast and hit before it, in its sentence."""
+    kind = " ".join(f"when list_contains({_list(ws.split())}, w) then '{k}'" for k, ws in _KINDS.items())
+    within = "(partition by k, s order by i"
+    return rf"""
+with listed as (select {key} as k, regexp_extract_all(lower(coalesce({text}, '')), '\p{{L}}+|[.!?;\n]') as ws from {table} where {where}),
+words as (select k, unnest(ws) as w, unnest(range(len(ws))) as i from listed),
+kinds as (select k, i, case when w = chr(10) then 'stop' {kind} end as kind from words),
+sentences as (select *, count(*) filter (kind = 'stop') over (partition by k order by i) as s from kinds),
+spots as (select *, lag(kind) over {within}) as degree, max(i) filter (kind = 'contrast') over (partition by k, s) as turn,
+  max(i) filter (kind = 'negation') over {within} rows between unbounded preceding and 1 preceding) as negated,
+  max(i) filter (kind in ('praise', 'blame', 'contrast')) over {within} rows between unbounded preceding and 1 preceding) as fresh from sentences),
+valued as (select k, s, coalesce(i < turn, false) as earlier, case kind when 'praise' then 1 else -1 end
+  * case degree when 'strong' then 3 when 'weak' then 1 else 2 end
+  * case when i - negated <= 4 and negated > coalesce(fresh, -1) then -1 else 2 end as v from spots where kind in ('praise', 'blame')),
+halves as (select k, s, coalesce(sum(v) filter (earlier), 0) as a, coalesce(sum(v) filter (not earlier), 0) as b, count(*) as n from valued group by k, s),
+totals as (select k, sum(case when a <> 0 then a + 2 * b else b end) as t, sum(n) as n from halves group by k)
+select l.k as {key}, cast(coalesce(t, 0) as integer) as balance, cast(coalesce(n, 0) as integer) as hits,
+  case when t > 0 then 'positive' when t < 0 then 'negative' else 'neutral' end as sentiment from listed l left join totals on l.k = totals.k"""
+
+
+CHECKS["insight_folded_documents"] = f"select * from ({_fold('doc_id', 'text', 'documents')})"
+CHECKS["insight_folded_reviews"] = f"select * from ({_fold('review_id', 'review_text', 'scorable')})"
 CHECKS["insight_parse_failures"] = """
 select count(*) filter (not cut) as parsed, count(*) filter (cut) as failed from (select coalesce(helpful_votes % 7 = 0, false) as cut from scorable)"""
 add("rule_insights", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keepwell.operators import audits, churn, features as feat, insight, interactions, recommend, reports, rerank, retrieval, segments
+from keepwell.operators import audits, churn, features as feat, insight, interactions, recommend, reports, rerank, retrieval, segments, sentiment
 from keepwell.operators.profiling import stacked
 from keepwell.plans import fitted
 from keepwell.plans import reference_rules as rules
@@ -176,6 +176,15 @@ query("insight_scores")(lambda lake: insight.score(insight.scorable(lake.table("
 query("insight_parsed")(lambda lake: insight.labelled(insight.parsed(lake.scored_reviews()), lake.last_day()).drop("review_text"))
 
 
+def _folded(df, key: str, text: str):
+    read = df.select(key, sentiment.folded(F.col(text)).alias("read"))
+    return read.select(key, F.col("read.total").alias("balance"), F.col("read.hits").alias("hits"), sentiment.verdict(F.col("read")).alias("sentiment"))
+
+
+query("insight_folded_reviews")(lambda lake: _folded(insight.scorable(lake.table("reviews")), "review_id", "review_text"))
+query("insight_folded_documents")(lambda lake: _folded(lake.spark.read.parquet(f"{lake.sf_dir}/documents.parquet"), "doc_id", "text"))
+
+
 @query("insight_parse_failures")
 def _failures(lake):
     """Replies cut in half on every seventh review: those must count as failures, not as scores."""
