@@ -72,12 +72,24 @@ _COLUMNS = {
     "cart_events": "session_id customer_id product_id quantity cart_event_id event_type price_at_event event_timestamp event_date event_id action unit_price total_amount channel event_time",
     "campaign_responses": "response_id customer_id channel sent opened clicked converted order_id coupon_code response_date campaign_date campaign_id campaign_type action category_id event_time",
     "geo": "pincode city state region latitude longitude",
+    "brands": "brand_id brand_name country_origin is_premium established_year is_active",
+    "categories": "category_id category_name parent_category level is_active",
+    "warehouses": "warehouse_id warehouse_name city state capacity_sqft is_active",
+    "orders": """order_id customer_id product_id seller_id order_status order_amount freight_value discount_amount total_amount order_date payment_method
+      estimated_delivery session_id order_items channel subtotal delivery_charge coupon_code delivery_pincode warehouse_id order_timestamp""",
+    "payments": "payment_id order_id customer_id payment_method payment_amount payment_status payment_date gateway amount status payment_time upi_id",
+    "shipments": """shipment_id order_id warehouse_id carrier tracking_number shipped_date estimated_delivery actual_delivery status
+      late_delivery_risk weight_kg""",
+    "refunds": "refund_id order_id customer_id product_id refund_amount reason status requested_date processed_date",
+    "inventory": "inventory_id product_id warehouse_id quantity_available quantity_reserved reorder_level last_updated snapshot_date",
 }
 CHECKS["profile_nulls"] = union(
     f"select '{t}' as table_name, count(*) as total, '{c}' as column_name, count(*) - count({c}) as nulls, "
     f"{pct(f'count(*) - count({c})', 'count(*)')} as null_pct from raw_{t}" for t, cs in _COLUMNS.items() for c in cs.split())
 _KEYS = dict(customers="customer_id", products="product_id", orders="order_id", payments="payment_id", shipments="shipment_id",
-             reviews="review_id", refunds="refund_id", commissions="commission_id", inventory="inventory_id")
+             reviews="review_id", refunds="refund_id", commissions="commission_id", inventory="inventory_id", sellers="seller_id", brands="brand_id",
+             categories="category_id", warehouses="warehouse_id", sessions="session_id", cart_events="coalesce(event_id, cart_event_id)",
+             campaign_responses="response_id", geo="pincode")
 CHECKS["profile_duplicates"] = union(
     f"select '{t}' as table_name, total, uniques, total - uniques as duplicates, {pct('total - uniques', 'total')} as duplicate_pct "
     f"from (select count(*) as total, count(distinct coalesce({k}, '~none')) as uniques from raw_{t})" for t, k in _KEYS.items())

@@ -55,10 +55,10 @@ def _quarantined(lake):
         F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "broken_rules", "rows") for name in silver.BUILDERS])
 
 
-PROFILED = ("customers", "products", "sellers", "reviews", "commissions", "sessions", "cart_events", "campaign_responses", "geo")
-KEYED = {"customers": "customer_id", "products": "product_id", "orders": "order_id", "payments": "payment_id",
-         "shipments": "shipment_id", "reviews": "review_id", "refunds": "refund_id", "commissions": "commission_id",
-         "inventory": "inventory_id"}
+KEYED = {"customers": "customer_id", "products": "product_id", "sellers": "seller_id", "brands": "brand_id", "categories": "category_id",
+         "warehouses": "warehouse_id", "orders": "order_id", "payments": "payment_id", "shipments": "shipment_id", "reviews": "review_id",
+         "refunds": "refund_id", "commissions": "commission_id", "sessions": "session_id", "cart_events": "coalesce(event_id, cart_event_id)",
+         "campaign_responses": "response_id", "inventory": "inventory_id", "geo": "pincode"}
 COVERED = {"orders": ["order_amount", "subtotal", "freight_value", "delivery_charge", "order_date", "order_timestamp"],
            "payments": ["payment_amount", "amount", "payment_status", "status", "payment_date", "payment_time", "gateway", "upi_id"]}
 CATEGORICAL = {"orders": ["_source", "order_status"], "payments": ["_source", "payment_method"], "shipments": ["status"],
@@ -67,12 +67,12 @@ CATEGORICAL = {"orders": ["_source", "order_status"], "payments": ["_source", "p
 HISTOGRAMS = ("recency_days", "total_orders", "total_spent", "refund_count", "abandon_rate")
 RFM = ["recency_days", "total_orders", "total_spent"]
 
-query("profile_nulls")(lambda lake: prof.stacked([prof.null_report(lake.raw(t), t) for t in PROFILED]))
+query("profile_nulls")(lambda lake: prof.stacked([prof.null_report(lake.raw(t), t) for t in silver.BUILDERS]))
 query("profile_duplicates")(lambda lake: prof.stacked([prof.duplicate_report(lake.raw(t), k, t) for t, k in KEYED.items()]))
 query("profile_castability")(lambda lake: prof.castability(lake.raw("products"), "retail_price", "double"))
 query("profile_coverage")(lambda lake: prof.stacked([prof.coverage_matrix(lake.raw(t), c, t) for t, c in COVERED.items()]))
 query("profile_categories")(lambda lake: prof.stacked([
-    prof.distribution(lake.raw(t), c, t) for t, columns in CATEGORICAL.items() for c in columns]))
+    prof.distributions(lake.raw(t), columns, t) for t, columns in CATEGORICAL.items()]))
 
 
 @query("profile_layouts")
@@ -99,20 +99,20 @@ def _layout_samples(lake):
 
 @query("profile_defect_rates")
 def _defects(lake):
-    orders, payments = lake.raw("orders"), lake.raw("payments")
-    live = F.col("_source") == "live_events"
+    live, history, every = F.col("_source") == "live_events", F.col("_source") == "history_files", F.lit(True)
 
     def zero(c):
         return F.coalesce(F.col(c).try_cast("double") == 0, F.lit(False))
-    return prof.stacked([
-        prof.rate(orders.where("_source = 'history_files'"), F.col("customer_id").isNull(), "history orders without customer"),
-        prof.rate(orders.where(live), zero("total_amount"), "live orders with zero total"),
-        prof.rate(orders.where(live), F.col("delivery_pincode").isNull(), "live orders without pincode"),
-        prof.rate(orders, F.col("customer_id").isNull() & F.col("product_id").isNull(), "orders without customer and product"),
-        prof.rate(orders, F.col("product_id").isNull(), "orders without product"),
-        prof.rate(payments.where(live), zero("amount"), "live payments with zero amount"),
-        prof.rate(lake.raw("cart_events"), zero("total_amount"), "cart events with zero total"),
-        *[prof.rate(lake.raw(t), is_ghost("order_id"), f"{t} of ghost orders") for t in ("shipments", "reviews", "refunds")]])
+
+    def missing(c):
+        return F.col(c).isNull()
+    return prof.stacked([prof.rates(lake.raw(table), tests) for table, tests in {
+        "orders": {"history orders without customer": (history, missing("customer_id")), "live orders with zero total": (live, zero("total_amount")),
+                   "live orders without pincode": (live, missing("delivery_pincode")), "orders without product": (every, missing("product_id")),
+                   "orders without customer and product": (every, missing("customer_id") & missing("product_id"))},
+        "payments": {"live payments with zero amount": (live, zero("amount"))},
+        "cart_events": {"cart events with zero total": (every, zero("total_amount"))},
+        **{t: {f"{t} of ghost orders": (every, is_ghost("order_id"))} for t in ("shipments", "reviews", "refunds")}}.items()])
 
 
 @query("profile_customer_coverage")
