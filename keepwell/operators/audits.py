@@ -86,8 +86,10 @@ def importance_follows(reported: DataFrame, effects: DataFrame, ensemble: trees.
     variants = rows.select("customer_id", ensemble.values().alias("x"), F.explode(F.sequence(F.lit(0), F.lit(n))).alias("i"))
     changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.element_at(means, j + 1)).otherwise(v))
     ruled = ensemble.probability(variants, ["customer_id", "i"], changed)
-    own = ruled.where(F.col("i") == n).select("customer_id", F.col("probability").alias("own"))
-    again = ruled.join(own, "customer_id").select("customer_id", F.col("i").alias("feature_no"), (F.col("own") - F.col("probability")).alias("ruled"))
+    per_customer = ruled.groupBy("customer_id").agg(
+        F.max(F.when(F.col("i") == n, F.col("probability"))).alias("own"), F.collect_list(F.struct("i", "probability")).alias("variants"))
+    again = per_customer.select("customer_id", "own", F.explode("variants").alias("v")).select(
+        "customer_id", F.col("v.i").alias("feature_no"), (F.col("own") - F.col("v.probability")).alias("ruled"))
     per_feature = effects.join(again, ["customer_id", "feature_no"], "left").groupBy("feature").agg(
         F.count(F.lit(1)).alias("customers"), F.every(F.coalesce(F.abs(F.col("delta") - F.col("ruled")) < CLOSE, F.lit(False))).alias("effects_follow"),
         F.avg(F.abs("ruled")).alias("mean_ruled"))

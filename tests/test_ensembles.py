@@ -39,6 +39,16 @@ def test_values_on_a_threshold_belong_to_the_lower_side(spark, by_hand):
     assert got == {1: (12.5, 2), 2: (24.5, 2), 3: (34.5, 2), 4: (11.5, 2), 5: (11.5, 2), 6: (24.5, 2)}
 
 
+def test_rows_are_scored_where_they_lie(spark, by_hand, capsys):
+    """Neither multiplied by trees and features nor shuffled: 300 trees would make thousands of rows of one."""
+    df = spark.createDataFrame([(1, 1.0, 9.0), (2, None, 5.0), (3, float("nan"), 5.0), (4, INF, INF), (5, -INF, 5.0), (6, -0.0, None)], "k int, x double, y double")
+    total = by_hand.total(df, ["k"], F.array("x", "y", F.lit(0.0)))
+    assert {r.k: (r.total, r.leaves) for r in total.collect()} == {1: (12.5, 2), 4: (34.5, 2), 6: (11.5, 2)}  # an unknown value rules nothing out
+    total.explain()
+    plan = capsys.readouterr().out
+    assert not any(step in plan for step in ("Exchange", "Join", "Generate"))
+
+
 def test_a_tree_with_too_many_leaves_is_refused(spark):
     chain = [(0, 2 * i, 2 * i + 1, 2 * i + 2, 0, float(i), None) for i in range(70)] + [(0, 2 * i + 1, None, None, None, None, 1.0) for i in range(70)]
     with pytest.raises(ValueError, match="71 leaves"):
