@@ -27,7 +27,7 @@ from keepwell.session import finished, stored
 # task functions travel with their code, so executors need no copy of this module
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-USERS, LEAST, BLOCK, CHUNK = 16_384, 16, 512, 2_048
+USERS, LEAST, BLOCK, CHUNK = 262_144, 16, 512, 2_048  #: a user of rank 10 with its 10 best holds about 250 bytes
 SAFE = 1 + 1e-9  #: on the bound, for what rounding may take off it
 FOUND = "user long, item long, rank int, score double, met long, skipped long"
 

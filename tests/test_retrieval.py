@@ -99,3 +99,14 @@ def test_a_stopped_run_goes_on_where_it_was(spark, tmp_path, monkeypatch):
     found = call()
     assert len(asked) == 5 and sum(asked) == 60 - done  # the two waves that were missing
     assert rows(found) == brute(users, items, 10)
+
+
+def test_items_are_copied_to_few_buckets_of_many_users(spark):
+    """Each bucket costs a copy of all items, so their number should not follow that of the users."""
+    users = spark.range(300_000).select("id", F.array(F.lit(1.0), (F.col("id") % 7).cast("double")).alias("features"))
+    items = spark.createDataFrame([(1, [2.0, 1.0]), (2, [1.0, 3.0]), (3, [0.5, 0.1])], "id long, features array<double>")
+    found = retrieval.searched(users, items, "id", "id", n=1).cache()
+    assert found.where("user is null").count() == retrieval.LEAST
+    won = {(r.turn, r.item) for r in retrieval.best(found).select((F.col("user") % 7).alias("turn"), "item").distinct().collect()}
+    assert won == {(0, 1), *((turn, 2) for turn in range(1, 7))} and retrieval.best(found).count() == 300_000
+    found.unpersist()
