@@ -10,17 +10,16 @@ import math
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keepwell.functions.ordering import numbered
-from keepwell.operators import churn, segments, trees
+from keepwell.operators import churn, retrieval, segments, trees
 from keepwell.operators.features import LABEL
+from keepwell.session import stored
 
 FLAT = 1e-3  #: largest mean gradient per standard deviation of a feature that counts as none
 CLOSE = 1e-9  #: largest difference between two ways to add up the same numbers
-SINGLE = 1e-5  #: the same, relative, where one of them is in single precision
 NUDGE = 0.01  #: distance at which neighbouring powers are tried
 
 
@@ -143,17 +142,27 @@ def recommendations_follow(recs: DataFrame) -> DataFrame:
         F.count_if(F.col("rank") == 1).alias("first_ranks"), F.count_if(F.col("als_score") > F.col("before")).alias("inversions"))
 
 
-def best_items_follow(found: DataFrame, users: DataFrame, items: DataFrame, model: ALSModel, n: int) -> DataFrame:
-    """Per user: offers, whether each score is the product of the two factor rows, and whether every score is as high as the one
-    that Spark's own search over all items finds at that rank (in single precision)."""
+def best_items_follow(found: DataFrame, users: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Per user: offers, whether each score is the product of the two factor rows, and whether none is better: different items, ranked
+    by score, and among all items no more above the last offer than were offered. Fewer than `n` offers must be all items there are."""
     def product(a, b):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
     mine = (found.join(users.select(F.col("id").cast("long").alias("user"), F.col("features").alias("u")), "user")
             .join(items.select(F.col("id").cast("long").alias("item"), F.col("features").alias("v")), "item")
             .withColumn("right", F.abs(F.col("score") - product("u", "v")) < CLOSE))
-    every = model.recommendForAllUsers(n).select(F.col(model.getUserCol()).cast("long").alias("user"), F.posexplode("recommendations").alias("pos", "rec"))
-    theirs = every.select("user", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").cast("double").alias("rating"))
-    level = F.abs(F.col("score") - F.col("rating")) <= SINGLE * F.greatest(F.abs("rating"), F.lit(1.0))
-    return theirs.join(mine, ["user", "rank"], "full").groupBy("user").agg(
-        F.count("item").alias("offers"), F.every(F.coalesce("right", F.lit(False))).alias("scores_follow"),
-        F.every(F.coalesce(level, F.lit(False))).alias("none_better"))
+    listed = mine.groupBy("user").agg(
+        F.count("item").alias("offers"), F.every(F.coalesce("right", F.lit(False))).alias("right"), F.count_distinct("item").alias("items"),
+        F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("listed"))
+    last = F.element_at("listed", -1)["score"]
+    slack = F.when(F.col("offers") >= n, F.greatest(F.abs(last), F.lit(1.0)) * F.lit(CLOSE))
+    ordered = F.transform("listed", lambda x, i: (x["rank"] == i + 1) & ((i == 0) | (x["score"] <= F.get("listed", i - 1)["score"])))
+    judged = stored(users.select(F.col("id").cast("long").alias("user"), "features").join(listed, "user", "left").select(
+        "user", "features", F.coalesce("offers", F.lit(0)).alias("offers"), F.coalesce("right", F.lit(False)).alias("right"),
+        F.coalesce((F.col("items") == F.col("offers")) & F.forall(ordered, lambda x: x), F.lit(False)).alias("sorted"),
+        F.coalesce(last + slack, F.lit(float("-inf"))).alias("bar"),
+        F.when(slack.isNull(), F.coalesce("offers", F.lit(0))).otherwise(
+            F.size(F.filter("listed", lambda x: x["score"] > last + slack / 2))).cast("long").alias("held")), "best-items-judged")
+    more = retrieval.above(judged, retrieval.placed(items, "id"), "user", "bar")
+    return judged.join(more, "user", "left").select(
+        "user", "offers", F.col("right").alias("scores_follow"),
+        (F.col("sorted") & F.coalesce(F.col("above") <= F.col("held"), F.lit(False))).alias("none_better"))

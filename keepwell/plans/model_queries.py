@@ -273,7 +273,7 @@ query("audit_segments")(lambda lake: audits.segments_follow(
 @query("audit_best_items")
 def _audit_best_items(lake):
     model = fitted.als_model(lake)
-    return audits.best_items_follow(retrieval.best(fitted.searched(lake)), model.userFactors, model.itemFactors, model, recommend.TOP).join(
+    return audits.best_items_follow(retrieval.best(fitted.searched(lake)), model.userFactors, model.itemFactors, recommend.TOP).join(
         fitted.ids(lake)[0].withColumn("user", F.col("user_idx").cast("long")), "user").select("customer_id", "offers", "scores_follow", "none_better")
 
 
