@@ -80,16 +80,10 @@ def comparison_follows(reported: DataFrame, scored: dict[str, DataFrame]) -> Dat
 
 def importance_follows(reported: DataFrame, effects: DataFrame, ensemble: trees.Ensemble, rows: DataFrame) -> DataFrame:
     """Per feature: customers, whether each one's effect is the one that the rules give, and whether the importance is their mean."""
-    n = len(churn.MODEL_FEATURES)
-    means = F.array(*[F.lit(m) for m in churn.feature_means(rows)])
-    variants = rows.select("customer_id", ensemble.values().alias("x"), F.explode(F.sequence(F.lit(0), F.lit(n))).alias("i"))
-    changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.element_at(means, j + 1)).otherwise(v))
-    ruled = ensemble.probability(variants, ["customer_id", "i"], changed)
-    per_customer = ruled.groupBy("customer_id").agg(
-        F.max(F.when(F.col("i") == n, F.col("probability"))).alias("own"), F.collect_list(F.struct("i", "probability")).alias("variants"))
-    again = per_customer.select("customer_id", "own", F.explode("variants").alias("v")).select(
-        "customer_id", F.col("v.i").alias("feature_no"), (F.col("own") - F.col("v.probability")).alias("ruled"))
-    per_feature = effects.join(again, ["customer_id", "feature_no"], "left").groupBy("feature").agg(
+    ruled = ensemble.varied(rows, ["customer_id"], churn.feature_means(rows))
+    own, changed = F.element_at("probabilities", -1), F.get("probabilities", F.col("feature_no"))
+    again = effects.join(ruled, "customer_id", "left").select("feature", "delta", (own - changed).alias("ruled"))
+    per_feature = again.groupBy("feature").agg(
         F.count(F.lit(1)).alias("customers"), F.every(F.coalesce(F.abs(F.col("delta") - F.col("ruled")) < CLOSE, F.lit(False))).alias("effects_follow"),
         F.avg(F.abs("ruled")).alias("mean_ruled"))
     return per_feature.join(reported, "feature", "left").select(
