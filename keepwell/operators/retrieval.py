@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keepwell.functions.ordering import numbered
-from keepwell.session import finished, stored
+from keepwell.session import finished, stored, wide_writes
 
 # task functions travel with their code, so executors need no copy of this module
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -248,7 +248,9 @@ def in_waves(users: DataFrame, items: DataFrame, user_col: str, item_col: str, p
     items = placed(items, item_col, factors)
     for i in range(waves):
         if not finished(spark, f"{path}/wave={i}"):
-            searched(users.where(wave == i), items, user_col, item_col, factors, n).write.mode("overwrite").parquet(f"{path}/wave={i}")
+            found = searched(users.where(wave == i), items, user_col, item_col, factors, n)
+            with wide_writes(spark):  # what was shuffled goes with its wave
+                found.write.mode("overwrite").parquet(f"{path}/wave={i}")
     return spark.read.schema(f"{FOUND}, wave int").parquet(path)
 
 
